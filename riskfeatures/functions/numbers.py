@@ -1,71 +1,69 @@
-"""Arithmetic whose missing-value rules follow floating-point frames.
+"""Arithmetic whose missing-value rules follow floating-point frames, as SQL expressions.
 
 A missing number is null. A division by zero gives an infinity (or null for 0/0) in
-`ieee_div`, and null in `safe_div`. Neither raises under ANSI mode.
+`ieee_div`, and null in `safe_div`. Neither raises under ANSI mode. All helpers take and
+return expression text, so that they nest and a whole block of formulas reaches Spark in
+one call; `columns` turns a block into Column objects.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
-from .text import col
+INF = "double('Infinity')"
 
-INF = float("inf")
 
+def columns(formulas: Mapping[str, str]) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in formulas.items()}
 
-def to_num(c: Column | str, dtype: str = "double") -> Column:
+
+def to_num(c: str, dtype: str = "double") -> str:
     """Cast that gives null where the text is not a number."""
-    return col(c).try_cast(dtype)
+    return f"try_cast({c} as {dtype})"
 
 
-def ieee_div(a: Column | str, b: Column | str) -> Column:
+def ieee_div(a: str, b: str) -> str:
     """a / b on doubles; x/0 is +inf or -inf by the sign of x, 0/0 is missing."""
-    a, b = col(a), col(b)
-    return (
-        F.when(b == 0, F.when(a > 0, F.lit(INF)).when(a < 0, F.lit(-INF)))
-        .otherwise(F.try_divide(a, b))
-    )
+    by_zero = f"case when {a} > 0 then {INF} when {a} < 0 then -{INF} end"
+    return f"(case when {b} = 0 then {by_zero} else try_divide({a}, {b}) end)"
 
 
-def safe_div(a: Column | str, b: Column | str) -> Column:
+def safe_div(a: str, b: str) -> str:
     """a / b, missing when the divisor is zero or missing."""
-    return F.try_divide(col(a), col(b))
+    return f"try_divide({a}, {b})"
 
 
-def rel_change(cur: Column | str, prev: Column | str) -> Column:
+def rel_change(cur: str, prev: str) -> str:
     """(cur - prev) / prev, missing when prev is zero or missing."""
-    return safe_div(col(cur) - col(prev), prev)
+    return safe_div(f"({cur} - {prev})", prev)
 
 
-def growth_rate(cur: Column | str, prev: Column | str, years: int) -> Column:
+def growth_rate(cur: str, prev: str, years: int) -> str:
     """Compound growth per year as a fraction; missing unless cur/prev is positive."""
     ratio = nan_to_null(ieee_div(cur, prev))
-    return F.when(ratio > 0, F.pow(ratio, F.lit(1.0 / years)) - 1)
+    return f"case when {ratio} > 0 then power({ratio}, {1.0 / years!r}D) - 1 end"
 
 
-def nan_to_null(c: Column | str) -> Column:
+def nan_to_null(c: str) -> str:
     """NaN compares as the largest number in Spark; a missing value is null here."""
-    c = col(c)
-    return F.when(~F.isnan(c), c)
+    return f"nullif({c}, double('NaN'))"
 
 
-def inf_to_null(c: Column | str) -> Column:
+def inf_to_null(c: str) -> str:
     """Drop infinities (and NaN) from a double column."""
-    c = col(c)
-    return F.when(~F.isnan(c) & (F.abs(c) != INF), c)
+    return f"(case when abs({c}) < {INF} then {c} end)"
 
 
-def zero_if_null(c: Column | str) -> Column:
-    return F.coalesce(col(c), F.lit(0.0))
+def zero_if_null(c: str) -> str:
+    return f"coalesce({c}, 0D)"
 
 
-def sum_cols(cols: Sequence[Column | str], nulls: str = "propagate") -> Column:
+def sum_cols(cols: Sequence[str], nulls: str = "propagate") -> str:
     """Sum of columns. 'propagate': a missing addend makes the sum missing; 'skip': it
     counts as zero."""
     if nulls not in ("propagate", "skip"):
         raise ValueError(f"nulls must be 'propagate' or 'skip', not {nulls!r}")
-    terms = [col(c) if nulls == "propagate" else zero_if_null(c) for c in cols]
-    return reduce(lambda a, b: a + b, terms)
+    terms = cols if nulls == "propagate" else [zero_if_null(c) for c in cols]
+    return "(" + " + ".join(terms) + ")"

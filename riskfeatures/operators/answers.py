@@ -44,17 +44,27 @@ def answer_scores_by_year(
     One aggregation by company holds all years side by side. A year without rows scores
     0.5, so this equals completing the years, scoring each and rolling over n rows.
     """
-    aggs = [
-        F.max(F.when(F.col(year) == label, answer_level(a))).alias(f"{s}|{label}")
-        for s, a in answers.items()
-        for label in years
-    ]
-    wide = df.dropna(subset=[company]).groupBy(company).agg(*aggs)
-    out = []
+    # levels and the year's position are projected first, so each is computed once per row
+    nth = F.lit(None).cast("int")
+    for i, label in enumerate(years):
+        nth = F.when(F.col(year) == label, i).otherwise(nth)
+    leveled = df.dropna(subset=[company]).select(
+        company, nth.alias("__nth"), *[answer_level(a).alias(s) for s, a in answers.items()]
+    )
+    wide = leveled.groupBy(company).agg(
+        *[
+            F.max(F.when(F.col("__nth") == i, F.col(s))).alias(f"{s}_{i}")
+            for s in answers
+            for i in range(len(years))
+        ]
+    )
+    scored = wide.select(
+        company, *[score_of_level(F.col(c)).alias(c) for c in wide.columns if c != company]
+    )
+    means = []
     for s in answers:
-        latest_first = [score_of_level(F.col(f"`{s}|{label}`")) for label in reversed(years)]
         total = F.lit(0.0)
-        for n, score in enumerate(latest_first, start=1):
-            total = total + score
-            out.append((total / n).alias(f"{s}_{n}yrs"))
-    return wide.select(company, *out)
+        for n, i in enumerate(reversed(range(len(years))), start=1):
+            total = total + F.col(f"{s}_{i}")
+            means.append((total / n).alias(f"{s}_{n}yrs"))
+    return scored.select(company, *means)

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numbers import growth_rate, ieee_div, nan_to_null
+from ..functions.numbers import columns, growth_rate, ieee_div, nan_to_null
 
 _POS, _BACK = "__pos", "__back"
 
@@ -81,12 +81,11 @@ def rolling_rows(
     return inner.unionByName(repaired).drop(*slices, _POS, _BACK)
 
 
-def lag_columns(
-    features: Sequence[str], keys: Sequence[str], order: Sequence[str], n: int = 4
-) -> dict[str, Column]:
-    """Expressions `{feature}_prv_{i}_yrs`: the value i rows before, by key."""
-    w = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
-    return {f"{f}_prv_{i}_yrs": F.lag(f, i).over(w) for f in features for i in range(1, n + 1)}
+def history_names(features: Sequence[str], growth: Sequence[str] = (), n: int = 4) -> list[str]:
+    """All names that :func:`history_features` can add."""
+    kinds = [(f, k) for f in features for k in ("prv", "diff", "diff_perc")]
+    kinds += [(f, k) for f in growth for k in ("prv", "diff_perc")]
+    return [f"{f}_{kind}_{i}_yrs" for f, kind in kinds for i in range(1, n + 1)]
 
 
 def history_features(
@@ -96,23 +95,31 @@ def history_features(
     features: Sequence[str],
     growth: Sequence[str] = (),
     n: int = 4,
+    wanted: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Previous values, differences and percentage differences over 1..n rows back.
+    """Add values 1..n rows back, differences to them and percentage differences.
 
-    Features named in `growth` get a compound growth rate instead of the differences. Rows
-    of a key must be few by construction, such as one per financial year.
+    Names are `{feature}_prv_{i}_yrs`, `_diff_{i}_yrs` and `_diff_perc_{i}_yrs`; `wanted`
+    limits them. Features named in `growth` get a compound growth rate as `_diff_perc`.
+    Rows of a key must be few by construction, such as one per financial year.
     """
-    out = df.withColumns(lag_columns([*features, *growth], keys, order, n))
-    diffs, percs = {}, {}
-    for f in features:
-        for i in range(1, n + 1):
-            prv, diff = f"{f}_prv_{i}_yrs", f"{f}_diff_{i}_yrs"
-            diffs[diff] = nan_to_null(F.col(f) - F.col(prv))
-            percs[f"{f}_diff_perc_{i}_yrs"] = nan_to_null(100 * ieee_div(diff, prv))
-    for f in growth:
+    wanted = set(history_names(features, growth, n) if wanted is None else wanted)
+    w = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
+    lags, formulas = {}, {}
+    for f in [*features, *growth]:
         for i in range(1, n + 1):
-            percs[f"{f}_diff_perc_{i}_yrs"] = growth_rate(f, f"{f}_prv_{i}_yrs", i)
-    return out.withColumns(diffs).withColumns(percs)
+            prv, diff, perc = (f"{f}_{kind}_{i}_yrs" for kind in ("prv", "diff", "diff_perc"))
+            if not wanted & {prv, diff, perc}:
+                continue
+            lags[prv] = F.lag(f, i).over(w)
+            change = nan_to_null(f"({f} - {prv})")
+            if f in growth:
+                formulas[perc] = growth_rate(f, prv, i)
+            else:
+                formulas[diff] = change
+                formulas[perc] = nan_to_null(f"100 * {ieee_div(change, prv)}")
+    added = df.withColumns(lags).withColumns(columns({k: v for k, v in formulas.items() if k in wanted}))
+    return added.drop(*[c for c in lags if c not in wanted])
 
 
 def next_event_date(

@@ -65,7 +65,7 @@ class DirectorsFeatures:
             )
         ).select(
             COMPANY,
-            to_num("director_din", "bigint").alias("din"),
+            F.expr(to_num("director_din", "bigint")).alias("din"),
             strip_lower("t_dir_category").alias("t_dir_category"),
             "appt_chng_desig_date",
         )
@@ -104,7 +104,7 @@ class DirectorsFeatures:
     def disqualifications(self) -> DataFrame:
         """(din, from_date, to_date) periods named in the remarks on directors."""
         remarks = self.sources.read("director_remarks", ["din", "remarks"])
-        rows = remarks.select(to_num(strip("din"), "bigint").alias("din"), "remarks").dropna()
+        rows = remarks.select(strip("din").try_cast("bigint").alias("din"), "remarks").dropna()
         return extract_periods(rows, "remarks", strict=self.strict).drop("remarks")
 
     def _disqualified(self, ends: DataFrame, name: str) -> DataFrame:

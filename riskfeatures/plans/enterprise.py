@@ -8,11 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import AsOn, year_of_label
-from ..functions.numbers import ieee_div, nan_to_null, sum_cols, zero_if_null
+from ..functions.numbers import columns, ieee_div, nan_to_null, sum_cols, zero_if_null
 from ..functions.text import is_one_of_years, strip_lower
 from ..operators.latest import latest_per_key, prefer_consolidated
 from ..operators.members import COMPANY, Universe
-from ..operators.rolling import history_features
+from ..operators.rolling import history_features, history_names
 from ..sources.registry import Sources
 
 FY, STMT, FY_START = "financial_year", "is_consolidated_standalone_stmt", "financial_year_start"
@@ -69,29 +69,28 @@ OTHER_FEATURES = (
 
 def statement_ratios(df: DataFrame) -> DataFrame:
     """Ratios within one statement. Divisions by zero give infinities, missing stays missing."""
-    c = F.col
-    first = {
+    gross_accrual = "(t_tot_profit_loss_for_period_curr + tot_depr_depl_amor_curr)"
+    cost_of_goods = sum_cols(
+        ["t_invent_chng_fg_wip_stck_in_trade_curr", "material_cost_consumd_curr", "invent_stck_in_trade_curr"]
+    )
+    operating_income_prev = "(t_editda_prev - tot_depr_depl_amor_prev)"
+    amounts = {
         "networth": zero_if_null(sum_cols(["share_cap_curr", "rsrv_surp_curr", "money_share_warrnt_curr"])),
-        "total_liabilities": c("t_tot_non_curr_liability_curr") + c("t_tot_curr_liability_curr"),
-        "est_rev": c("t_rev_frm_prod_sale_curr") + c("t_rev_frm_serv_sale_curr"),
-        "total_revenue": c("t_tot_rev_curr"),
-        "pat": c("tot_profit_bfr_tax_curr") - c("tot_tax_exp_curr"),
-        "pat_prev": c("t_tot_profit_bfr_tax_prev") - c("tot_tax_exp_prev"),
-        "ebitda": c("t_editda_curr"),
-        "working_capital": c("tot_curr_assets_curr") - c("tot_curr_liability_curr"),
-        "total_borrow": c("lng_term_borrow_curr") + c("shrt_term_borrow_curr"),
-        "revenue_from_operations": c("t_tot_rev_frm_operation_curr"),
-        "tot_fixed_asset": c("t_tot_fixed_assets_curr"),
-        "operating_income": c("t_editda_curr") - c("tot_depr_depl_amor_curr"),
-        "operating_income_prev": c("t_editda_prev") - c("tot_depr_depl_amor_prev"),
-        "gross_accrual": c("t_tot_profit_loss_for_period_curr") + c("tot_depr_depl_amor_curr"),
-        "cost_of_goods": sum_cols(
-            ["t_invent_chng_fg_wip_stck_in_trade_curr", "material_cost_consumd_curr", "invent_stck_in_trade_curr"]
-        ),
-        "roce": c("return_on_cap_employed"),
+        "total_liabilities": "t_tot_non_curr_liability_curr + t_tot_curr_liability_curr",
+        "est_rev": "t_rev_frm_prod_sale_curr + t_rev_frm_serv_sale_curr",
+        "total_revenue": "t_tot_rev_curr",
+        "pat": "tot_profit_bfr_tax_curr - tot_tax_exp_curr",
+        "pat_prev": "t_tot_profit_bfr_tax_prev - tot_tax_exp_prev",
+        "ebitda": "t_editda_curr",
+        "working_capital": "tot_curr_assets_curr - tot_curr_liability_curr",
+        "total_borrow": "lng_term_borrow_curr + shrt_term_borrow_curr",
+        "revenue_from_operations": "t_tot_rev_frm_operation_curr",
+        "tot_fixed_asset": "t_tot_fixed_assets_curr",
+        "operating_income": "t_editda_curr - tot_depr_depl_amor_curr",
+        "roce": "return_on_cap_employed",
     }
     ratios = {
-        "growth_in_pat": ieee_div(c("pat") - c("pat_prev"), "pat_prev"),
+        "growth_in_pat": ieee_div("(pat - pat_prev)", "pat_prev"),
         "ebitda_by_sales": ieee_div("ebitda", "gross_sales_curr"),
         "ebitda_margin": ieee_div("ebitda", "total_revenue"),
         "working_capital_by_asset": ieee_div("working_capital", "tot_assets_curr"),
@@ -101,18 +100,18 @@ def statement_ratios(df: DataFrame) -> DataFrame:
         "roe": ieee_div("pat", "networth"),
         "total_debt_by_pat": ieee_div("total_borrow", "pat"),
         "pat_by_ebitda": ieee_div("pat", "ebitda"),
-        "growth_in_operating_income": (ieee_div("operating_income", "operating_income_prev") - 1) * 100,
-        "debt_by_gross_accrual": ieee_div("total_borrow", "gross_accrual"),
-        "ltborrowing_by_gross_accrual": ieee_div("lng_term_borrow_curr", "gross_accrual"),
+        "growth_in_operating_income": f"({ieee_div('operating_income', operating_income_prev)} - 1) * 100",
+        "debt_by_gross_accrual": ieee_div("total_borrow", gross_accrual),
+        "ltborrowing_by_gross_accrual": ieee_div("lng_term_borrow_curr", gross_accrual),
         "ltborrowing_by_ebitda": ieee_div("lng_term_borrow_curr", "ebitda"),
         "debt_by_ebitda": ieee_div("total_borrow", "ebitda"),
         "working_capital_turnover_ratio": ieee_div("revenue_from_operations", "working_capital"),
-        "creditor_period": ieee_div(c("trade_pay_curr") * 365, "cost_of_goods"),
+        "creditor_period": ieee_div("(trade_pay_curr * 365)", cost_of_goods),
     }
+    cycle = {"working_capital_cycle": nan_to_null("inventory_days + receivables_days - creditor_period")}
     # an infinite input can still give NaN, which is a missing value
-    df = df.withColumns(first).withColumns({n: nan_to_null(r) for n, r in ratios.items()})
-    cycle = c("inventory_days") + c("receivables_days") - c("creditor_period")
-    return df.withColumn("working_capital_cycle", nan_to_null(cycle))
+    ratios = {name: nan_to_null(text) for name, text in ratios.items()}
+    return df.withColumns(columns(amounts)).withColumns(columns(ratios)).withColumns(columns(cycle))
 
 
 class EfFinancialFeatures:
@@ -143,13 +142,15 @@ class EfFinancialFeatures:
     ) -> DataFrame:
         """Features of the as-on financial year; at most one row per company."""
         rated = statement_ratios(self.statements(balance, profit, ratio))
-        # one row per company and year, so a company has as many rows as there are years
-        history = history_features(rated, [COMPANY], [FY_START, FY], TREND_FEATURES, GROWTH_FEATURES, YEARS_BACK)
-        now = history.where(F.col(FY) == self.as_on.financial_year)
-        extra = []
+        names = list(FEATURES)
         if all_features:
-            extra = [*OTHER_FEATURES, *[c for c in _all_history() if c not in FEATURES]]
-        return now.select(COMPANY, FY, FY_START, *FEATURES, *extra)
+            history = history_names(TREND_FEATURES, GROWTH_FEATURES, YEARS_BACK)
+            names += OTHER_FEATURES + [c for c in history if c not in FEATURES]
+        # one row per company and year, so a company has as many rows as there are years
+        rolled = history_features(
+            rated, [COMPANY], [FY_START, FY], TREND_FEATURES, GROWTH_FEATURES, YEARS_BACK, wanted=names
+        )
+        return rolled.where(F.col(FY) == self.as_on.financial_year).select(COMPANY, FY, FY_START, *names)
 
     def get_ef_financials(self, all_features: bool = False) -> DataFrame:
         return self.extract_financial(
@@ -158,8 +159,3 @@ class EfFinancialFeatures:
             self._scan("accord_mca_financial_ratio", RATIOS),
             all_features,
         )
-
-
-def _all_history() -> list[str]:
-    trend = [f"{f}_{kind}" for f in TREND_FEATURES for kind in ("prv", "diff", "diff_perc")]
-    return _over_years(*trend, *[f"{f}_{kind}" for f in GROWTH_FEATURES for kind in ("prv", "diff_perc")])

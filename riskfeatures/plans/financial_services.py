@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.dates import AsOn, year_of_label
-from ..functions.numbers import inf_to_null, rel_change, safe_div, sum_cols
+from ..functions.numbers import columns, inf_to_null, rel_change, safe_div, sum_cols
 from ..functions.text import is_one_of_years, strip_lower
 from ..operators.latest import latest_per_key, prefer_consolidated
 from ..operators.members import COMPANY, Universe
@@ -46,47 +46,42 @@ def statement_ratios(df: DataFrame, form: str = "form_id", nulls: str = "propaga
 
     nulls='skip' lets a missing addend count as zero in the sums of borrowings.
     """
-    c = F.col
-    nbfc = c(form).isin(*NBFC_FORMS)
+    nbfc = f"{form} in {NBFC_FORMS}"
 
-    def if_nbfc(value: Column) -> Column:
-        return F.when(nbfc, value)
+    def if_nbfc(value: str, otherwise: str = "null") -> str:
+        return f"case when {nbfc} then {value} else {otherwise} end"
 
-    def borrowings(period: str) -> Column:
+    def borrowings(period: str) -> str:
         return sum_cols([f"lng_term_borrow_{period}", f"shrt_term_borrow_{period}"], nulls)
 
-    def funding(period: str) -> Column:
+    def funding(period: str) -> str:
         names = ("debt_security", "borrowings", "dep", "subordinated_liab")
         return sum_cols([f"{n}_{period}" for n in names], nulls)
 
     levels, ratios = {}, {}
-    for period, out in (("curr", "total_assets_cur"), ("prev", "total_assets_prev")):
-        levels[out] = F.when(c(form).isin(*TOTAL_ASSET_FORMS), c(f"t_tot_assets_{period}")).otherwise(
-            c(f"tot_assets_{period}")
+    for period, assets, suffix in (("curr", "total_assets_cur", ""), ("prev", "total_assets_prev", "_prev")):
+        levels[assets] = (
+            f"case when {form} in {TOTAL_ASSET_FORMS} then t_tot_assets_{period} else tot_assets_{period} end"
         )
-        levels[f"networth_{period}"] = F.when(nbfc, c(f"t_networth_{period}")).otherwise(
-            c(f"t_tot_share_hold_fund_{period}")
+        levels[f"networth_{period}"] = if_nbfc(f"t_networth_{period}", f"t_tot_share_hold_fund_{period}")
+        profit, interest, loan, cost = (
+            f"{n}_{period}" for n in ("t_tot_profit_loss_for_period", "intreset_inc", "loan", "fince_cost")
         )
-        interest, loan, cost = f"intreset_inc_{period}", f"loan_{period}", f"fince_cost_{period}"
-        suffix = "" if period == "curr" else "_prev"
-        ratios[f"roe_{period}"] = safe_div(f"t_tot_profit_loss_for_period_{period}", f"networth_{period}")
-        ratios[f"spread{suffix}"] = if_nbfc(safe_div(interest, loan) - safe_div(cost, funding(period)))
-        ratios[f"nim{suffix}"] = if_nbfc(safe_div(c(interest) - c(cost), loan))
+        ratios[f"roe_{period}"] = safe_div(profit, f"networth_{period}")
+        ratios[f"spread{suffix}"] = if_nbfc(f"{safe_div(interest, loan)} - {safe_div(cost, funding(period))}")
+        ratios[f"nim{suffix}"] = if_nbfc(safe_div(f"({interest} - {cost})", loan))
         ratios[f"yield{suffix}"] = safe_div(interest, loan)
-        ratios[f"cost_of_funds{suffix}"] = F.when(nbfc, safe_div(cost, loan)).otherwise(
-            safe_div(cost, borrowings(period))
-        )
+        ratios[f"cost_of_funds{suffix}"] = if_nbfc(safe_div(cost, loan), safe_div(cost, borrowings(period)))
+    all_assets = sum_cols(["total_assets_cur", "total_assets_prev"], nulls)
     ratios |= {
-        "roa": 2 * safe_div(
-            "t_tot_profit_loss_for_period_curr", sum_cols(["total_assets_cur", "total_assets_prev"], nulls)
-        ),
+        "roa": f"2 * {safe_div('t_tot_profit_loss_for_period_curr', all_assets)}",
         "roe": safe_div("t_tot_profit_loss_for_period_curr", "networth_curr"),
-        "leverage": safe_div(F.when(nbfc, c("t_tot_fin_liab_curr")).otherwise(borrowings("curr")), "networth_curr"),
-        "credit_costs": if_nbfc(c("imp_loa_ratio_curr")),
-        "pat": c("t_tot_profit_loss_for_period_curr"),
-        "other_expenses": c("t_othr_exp_curr"),
-        "cash": c("t_cash_eqv_bank_curr"),
-        "fixed_assets": c("t_tot_fixed_assets_curr"),
+        "leverage": safe_div(if_nbfc("t_tot_fin_liab_curr", borrowings("curr")), "networth_curr"),
+        "credit_costs": if_nbfc("imp_loa_ratio_curr"),
+        "pat": "t_tot_profit_loss_for_period_curr",
+        "other_expenses": "t_othr_exp_curr",
+        "cash": "t_cash_eqv_bank_curr",
+        "fixed_assets": "t_tot_fixed_assets_curr",
     }
     changes = {
         "total_assets": ("total_assets_cur", "total_assets_prev"),
@@ -101,11 +96,8 @@ def statement_ratios(df: DataFrame, form: str = "form_id", nulls: str = "propaga
         "cash": ("t_cash_eqv_bank_curr", "t_cash_eqv_bank_prev"),
         "fixed_assets": ("t_tot_fixed_assets_curr", "t_tot_fixed_assets_prev"),
     }
-    return (
-        df.withColumns(levels)
-        .withColumns(ratios)
-        .withColumns({f"{n}_change": rel_change(cur, prev) for n, (cur, prev) in changes.items()})
-    )
+    changed = {f"{name}_change": rel_change(cur, prev) for name, (cur, prev) in changes.items()}
+    return df.withColumns(columns(levels)).withColumns(columns(ratios)).withColumns(columns(changed))
 
 
 class FsFinancialFeatures:
@@ -151,9 +143,8 @@ class FsFinancialFeatures:
         joined = balance.join(profit.drop("form_id"), STATEMENT).join(ratio, STATEMENT, "left")
         one = prefer_consolidated(joined, [COMPANY, FY])
         rated = statement_ratios(one, nulls=self.nulls)
-        return rated.select(COMPANY, FY, *[inf_to_null(f).alias(f) for f in FEATURES]).withColumn(
-            "financial_year_start", year_of_label(FY)
-        )
+        finite = [f"{inf_to_null(f)} as {f}" for f in FEATURES]
+        return rated.selectExpr(COMPANY, FY, *finite).withColumn("financial_year_start", year_of_label(FY))
 
     def get_fs_financials(self) -> DataFrame:
         return self.extract_financial(

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.numbers import nan_to_null
+from ..functions.numbers import nan_to_null, to_num
 from .schemas import CONNECTION_OF, CONNECTIONS, TABLES
 
 
@@ -118,11 +118,9 @@ def typed(df: DataFrame, schema: Mapping[str, str], columns: Sequence[str] | Non
             raise ValueError(f"unknown column {name!r}")
         if name not in have:
             raise ValueError(f"the source lacks column {name!r}")
-        c, dtype = F.col(name), schema[name]
-        if have[name] != dtype:
-            c = c.try_cast(dtype)
-        out.append((nan_to_null(c) if dtype == "double" else c).alias(name))
-    return df.select(*out)
+        c = name if have[name] == schema[name] else to_num(name, schema[name])
+        out.append(f"{nan_to_null(c)} as {name}" if schema[name] == "double" else f"{c} as {name}")
+    return df.selectExpr(*out)
 
 
 def narrow(
