@@ -124,6 +124,14 @@ class EfFinancialFeatures:
         df = self.sources.read(table, [*STATEMENT, "document_date", *amounts])
         return self.universe.restrict(df).where(is_one_of_years(FY, self.as_on.valid_years))
 
+    def source_frames(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Balance sheets, profit and loss statements and ratios of the valid years."""
+        return (
+            self._scan("accord_mca_balance_sheet", BALANCE_SHEET),
+            self._scan("accord_mca_profit_loss", PROFIT_LOSS),
+            self._scan("accord_mca_financial_ratio", RATIOS),
+        )
+
     def statements(self, balance: DataFrame, profit: DataFrame, ratio: DataFrame) -> DataFrame:
         """Latest filings of the three tables joined, one statement per company and year."""
         latest = []
@@ -153,9 +161,4 @@ class EfFinancialFeatures:
         return rolled.where(F.col(FY) == self.as_on.financial_year).select(COMPANY, FY, FY_START, *names)
 
     def get_ef_financials(self, all_features: bool = False) -> DataFrame:
-        return self.extract_financial(
-            self._scan("accord_mca_balance_sheet", BALANCE_SHEET),
-            self._scan("accord_mca_profit_loss", PROFIT_LOSS),
-            self._scan("accord_mca_financial_ratio", RATIOS),
-            all_features,
-        )
+        return self.extract_financial(*self.source_frames(), all_features)
