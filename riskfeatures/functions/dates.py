@@ -35,16 +35,10 @@ def parse_day_first(c: Column | str) -> Column:
     return F.try_to_date(col(c), "dd-MM-yyyy")
 
 
-def parse_dm2y(c: Column | str) -> Column:
-    """`dd/MM/yy` text, where 69-99 belong to the twentieth century."""
-    d = F.try_to_date(col(c), "dd/MM/yy")
-    return F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
-
-
-def parse_dmy_any_year(c: Column | str) -> Column:
-    """`dd/MM/yyyy` or `dd/MM/yy`, told apart by the length of the text."""
-    c = col(c)
-    return F.when(F.length(c) == 8, parse_dm2y(c)).otherwise(parse_dmy(c))
+def parse_dm_any_year(c: Column | str) -> Column:
+    """`dd/MM/yyyy` or `dd/MM/yy` text; two-digit years 69-99 belong to the twentieth century."""
+    since_1969 = F.regexp_replace(col(c), r"^(\d{2}/\d{2}/)(69|[7-9]\d)$", "$119$2")
+    return parse_dmy(F.regexp_replace(since_1969, r"^(\d{2}/\d{2}/)(\d{2})$", "$120$2"))
 
 
 def first_of_january(year: Column | str) -> Column:

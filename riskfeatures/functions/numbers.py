@@ -25,8 +25,9 @@ def to_num(c: str, dtype: str = "double") -> str:
 
 
 def ieee_div(a: str, b: str) -> str:
-    """a / b on doubles; x/0 is +inf or -inf by the sign of x, 0/0 is missing."""
-    by_zero = f"case when {a} > 0 then {INF} when {a} < 0 then -{INF} end"
+    """a / b on doubles; x/0 is +inf or -inf by the signs of x and of the zero, 0/0 is missing."""
+    sign_of_zero = f"(case when cast({b} as string) = '-0.0' then -1D else 1D end)"
+    by_zero = f"case when {a} > 0 then {INF} when {a} < 0 then -{INF} end * {sign_of_zero}"
     return f"(case when {b} = 0 then {by_zero} else try_divide({a}, {b}) end)"
 
 

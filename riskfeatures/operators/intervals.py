@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.dates import date_lit, parse_dm2y, parse_dmy_any_year
+from ..functions.dates import date_lit, parse_dm_any_year
 from ..functions.text import col, strip_lower
 
 # How a period is written in a remark.
@@ -32,15 +32,15 @@ def extract_periods(
     By default four-digit years are read in full. `strict` reads the first two digits of
     any year, so that 2016 becomes 2020.
     """
-    if strict:
-        patterns, parse = (FROM_TWO_DIGITS, TO_TWO_DIGITS), parse_dm2y
-    else:
-        patterns, parse = (FROM_FULL_YEAR, TO_FULL_YEAR), parse_dmy_any_year
+    patterns = (FROM_TWO_DIGITS, TO_TWO_DIGITS) if strict else (FROM_FULL_YEAR, TO_FULL_YEAR)
     remark = strip_lower(text)
-    first, last = (parse(F.nullif(F.regexp_extract(remark, p, 1), F.lit(""))) for p in patterns)
+    # where nothing matches, the extracted text is empty and so is no date
+    first, last = (parse_dm_any_year(F.regexp_extract("__remark", p, 1)) for p in patterns)
     return (
-        df.where(remark.rlike(PERIOD_PATTERN))
+        df.withColumn("__remark", remark)
+        .where(F.col("__remark").rlike(PERIOD_PATTERN))
         .withColumns({start: first, end: last})
+        .drop("__remark")
         .where(F.col(start) < F.col(end))
     )
 

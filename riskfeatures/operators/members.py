@@ -66,12 +66,16 @@ def company_years(companies: DataFrame, years: Sequence[str], company: str = COM
     return companies.select(company, F.explode(labels).alias("financial_year"))
 
 
-def complete_with(df: DataFrame, spine: DataFrame, keys: Sequence[str]) -> DataFrame:
+def complete_with(
+    df: DataFrame, spine: DataFrame, keys: Sequence[str], present: DataFrame | None = None
+) -> DataFrame:
     """df plus one row, empty but for the keys, for each spine row that it lacks.
 
-    Only distinct keys of df meet the spine, so a key with many rows costs one.
+    Only distinct keys meet the spine, so a key with many rows costs one. `present` is a
+    cheaper frame with the same keys as df, if there is one.
     """
-    missing = spine.join(df.select(*keys).distinct(), list(keys), "left_anti")
+    have = (df if present is None else present).select(*keys).distinct()
+    missing = spine.join(have, list(keys), "left_anti")
     return df.unionByName(missing, allowMissingColumns=True)
 
 

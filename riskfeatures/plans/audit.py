@@ -93,9 +93,14 @@ class AuditorFeatures:
         one = any_per_key(rows, [COMPANY, FY, "auditor_pan"], ties=["auditor_resignation_date", "auditor_firm"])
         return one.withColumn("has_auditor_resigned", F.lit(1))
 
+    def auditor_mentions(self) -> DataFrame:
+        """One row for each auditor id named in an auditor row of a known statement."""
+        each = explode_ids(self.auditor_rows(), "pan_no", "auditor_pan", self.strict)
+        return each.dropna(subset=[COMPANY, "auditor_pan", STMT, FY])
+
     def auditor_facts(self) -> DataFrame:
         """One row per company, auditor, statement and year with its three flags."""
-        each = explode_ids(self.auditor_rows(), "pan_no", "auditor_pan", self.strict)
+        each = self.auditor_mentions()
         key = [COMPANY, "auditor_pan", STMT, FY]
         # the form source comes first, so its row wins where both name an auditor
         one = first_per_key(
@@ -118,7 +123,9 @@ class AuditorFeatures:
         flags = list(FLAG_SCORES.values())
         facts = self.auditor_facts().select(COMPANY, FY, STMT, "auditor_pan", *flags)
         spine = company_years(self.universe.ids, self.as_on.valid_years)
-        full = complete_with(facts, spine, [COMPANY, FY]).withColumn("financial_year_start", year_of_label(FY))
+        # the mentions have the same years as the facts, without their windows and joins
+        full = complete_with(facts, spine, [COMPANY, FY], present=self.auditor_mentions())
+        full = full.withColumn("financial_year_start", year_of_label(FY))
         neutral = {c: F.coalesce(F.col(c).cast("double"), F.lit(NEUTRAL_SCORE)) for c in flags}
         rolled = rolling_rows(
             full.withColumns(neutral),

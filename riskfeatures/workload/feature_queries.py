@@ -313,7 +313,7 @@ def _ef_history_sql(names: list[str]) -> str:
             lag = f"lag({f}, {i}) over w"
             cols += [
                 f"{lag} as {f}_prv_{i}_yrs",
-                f"case when {f} / {lag} > 0 and not isnan({f} / {lag}) then round(pow({f} / {lag}, 1.0 / {i}) - 1, 9) end as {f}_diff_perc_{i}_yrs",
+                f"case when {f} / {lag} > 0 and not isnan({f} / {lag}) then round(pow({f} / {lag}, 1.0 / {i}) - 1, 6) end as {f}_diff_perc_{i}_yrs",
             ]
     return f"""select company_master_id, financial_year, financial_year_start, {', '.join(names)} from (
   select *, {', '.join(cols)} from ({_ef_rated()}) window w as (partition by company_master_id order by financial_year_start))
@@ -322,7 +322,7 @@ where financial_year = '{YEARS[-1]}'"""
 
 def _round_growth(df):
     grown = [c for c in df.columns if c.startswith("total_revenue_diff_perc")]
-    return df.withColumns({c: F.round(c, 9) for c in grown})
+    return df.withColumns({c: F.round(c, 6) for c in grown})
 
 
 EF_TABLES = ("accord_mca_balance_sheet", "accord_mca_profit_loss", "accord_mca_financial_ratio")
@@ -590,4 +590,4 @@ left join ({_court_scorecard_sql(True)}) using (company_master_id)"""
 def scorecard(spark, d):
     out = scorecard_plan(sources(spark, d), view(spark, d, "companies"), AS_ON, TODAY)
     grown = [c for c in out.columns if c.startswith("ef_total_revenue_diff_perc")]
-    return out.withColumns({c: F.round(c, 9) for c in grown})
+    return out.withColumns({c: F.round(c, 6) for c in grown})

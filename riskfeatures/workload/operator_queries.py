@@ -356,11 +356,11 @@ def lag_diff_pct(spark, d):
 
 
 @query(f"""select company_master_id, fy_start, {', '.join(
-    f"case when revenue / lag(revenue, {i}) over w > 0 and not isnan(revenue / lag(revenue, {i}) over w) then round(pow(revenue / lag(revenue, {i}) over w, 1.0 / {i}) - 1, 9) end as growth_{i}"
+    f"case when revenue / lag(revenue, {i}) over w > 0 and not isnan(revenue / lag(revenue, {i}) over w) then round(pow(revenue / lag(revenue, {i}) over w, 1.0 / {i}) - 1, 6) end as growth_{i}"
     for i in range(1, 5))} from ({FIN_SQL}) window w as (partition by company_master_id order by fy_start)""")
 def compound_growth(spark, d):
     out = history_features(_fin(spark, d), [COMPANY], ["fy_start"], [], ["revenue"])
-    grown = [F.round(f"revenue_diff_perc_{i}_yrs", 9).alias(f"growth_{i}") for i in range(1, 5)]
+    grown = [F.round(f"revenue_diff_perc_{i}_yrs", 6).alias(f"growth_{i}") for i in range(1, 5)]
     return out.select(COMPANY, "fy_start", *grown)
 
 

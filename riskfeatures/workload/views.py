@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -289,9 +290,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return run_sql(spark, sf_dir, f"select * from {name}")
 
 
+@lru_cache(maxsize=64)
+def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table; the handle is kept so that its schema is read once per session."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
 def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     text = expand(sql)
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if re.search(rf"\b{t}\b", text)}
+    tables = {t: base_table(spark, sf_dir, t) for t in BASE_TABLES if re.search(rf"\b(from|join) {t}\b", text)}
     for t in tables:
         text = re.sub(rf"\b(from|join) {t}\b", rf"\1 {{{t}}}", text)
     return spark.sql(text, **tables)
