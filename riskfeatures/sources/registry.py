@@ -29,8 +29,9 @@ class Sources:
 
         def read(table: str) -> DataFrame:
             reader = self.spark.read.format(fmt).options(**options)
-            if fmt in ("csv", "json"):  # text carries no types: take the declared ones
-                reader = reader.schema(", ".join(f"{c} {t}" for c, t in TABLES[table].items()))
+            # text files carry no types: their values are read as text and cast afterwards
+            if fmt == "json" or (fmt == "csv" and "header" not in options):
+                reader = reader.schema(", ".join(f"{c} string" for c in TABLES[table]))
             return reader.load(f"{directory.rstrip('/')}/{table}{suffix}")
 
         return self._add(connection, read)
