@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import AsOn, cap_at, date_lit, indian_financial_year, parse_dmy, report_period
 from ..functions.numbers import to_num
 from ..functions.text import contains, strip, strip_lower
 from ..operators.intervals import contains_day, extract_periods, interval_join
 from ..operators.latest import latest_per_key
-from ..operators.members import COMPANY, Universe
+from ..operators.members import COMPANY, Universe, side_by_side
 from ..operators.rolling import next_event_date
 from ..sources.registry import Sources
 
@@ -107,29 +107,51 @@ class DirectorsFeatures:
         rows = remarks.select(strip("din").try_cast("bigint").alias("din"), "remarks").dropna()
         return extract_periods(rows, "remarks", strict=self.strict).drop("remarks")
 
-    def _disqualified(self, ends: DataFrame, name: str) -> DataFrame:
-        """Flag for companies with a tenure end inside a disqualification of the director."""
-        points = self._with_din(ends.select(COMPANY, DIRECTOR, "date_cessation").distinct())
+    def _tenure_ends(self) -> tuple[Column, Column]:
+        """The two days on which a tenure is tested, null where the test does not apply:
+        its end up to the as-on date, and its end within the as-on financial year."""
+        left = F.col("date_cessation")
+        capped = cap_at("date_cessation", self.as_on.date)
+        served = F.col("appointment_original_date") < capped
+        if self.as_on.date == self.as_on.today:
+            served = served & left.isNull()
+        start, end = (date_lit(d) for d in indian_financial_year(self.as_on.date))
+        return F.when(served, capped), F.when(left.between(start, end), left)
+
+    def _disqualified(self, ends: dict[str, Column]) -> DataFrame:
+        """Flags for companies with a tenure end inside a disqualification of the director.
+
+        All flags share one scan of the tenures and one interval join.
+        """
+        tests = F.array_compact(
+            F.array(*[F.when(day.isNotNull(), F.struct(F.lit(n).alias("flag"), day.alias("day"))) for n, day in ends.items()])
+        )
+        points = self.tenures().select(COMPANY, DIRECTOR, F.inline(tests)).distinct()
         hits = interval_join(
-            points, self.disqualifications(), ["din"], "date_cessation", "from_date", "to_date", how="left_semi"
+            self._with_din(points), self.disqualifications(), ["din"], "day", "from_date", "to_date", how="left_semi"
         )
-        return self.universe.flag(hits, name)
+        return self._flags(hits, {n: F.col("flag") == n for n in ends})
+
+    def _flags(self, hits: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+        """One 0/1 column per condition: does the company have a hit that meets it?"""
+        met = [F.max(F.when(c, 1).otherwise(0)).cast("byte").alias(n) for n, c in conditions.items()]
+        return self.universe.zero_fill(hits.groupBy(COMPANY).agg(*met), list(conditions))
 
     def disq_dir_active(self) -> DataFrame:
         """1 if a director was disqualified at the end of a tenure, an open one ending on
         the as-on date. With the as-on date today only open tenures are looked at."""
-        tenures = self.tenures()
-        if self.as_on.date == self.as_on.today:
-            tenures = tenures.where(F.col("date_cessation").isNull())
-        ends = tenures.withColumn("date_cessation", cap_at("date_cessation", self.as_on.date))
-        served = ends.where(F.col("appointment_original_date") < F.col("date_cessation"))
-        return self._disqualified(served, "disqualified_director_active")
+        return self._disqualified({"disqualified_director_active": self._tenure_ends()[0]})
 
     def disq_dir_resigned(self) -> DataFrame:
         """1 if a director left in the financial year of the as-on date while disqualified."""
-        start, end = indian_financial_year(self.as_on.date)
-        left = self.tenures().where(F.col("date_cessation").between(date_lit(start), date_lit(end)))
-        return self._disqualified(left, "disqualified_director_resigned")
+        return self._disqualified({"disqualified_director_resigned": self._tenure_ends()[1]})
+
+    def disqualified_directors(self) -> DataFrame:
+        """Both disqualification flags from one pass."""
+        active, resigned = self._tenure_ends()
+        return self._disqualified(
+            {"disqualified_director_active": active, "disqualified_director_resigned": resigned}
+        )
 
     # --- other companies of the directors ---------------------------------------------------
 
@@ -149,22 +171,25 @@ class DirectorsFeatures:
             .agg(F.max(in_office).alias("in_office"))
         )
 
-    def _on_other_board(self, bad: DataFrame, name: str) -> DataFrame:
-        """Flag for companies with a director who also answers for a bad other company.
+    def _on_other_board(self, bad: dict[str, DataFrame]) -> DataFrame:
+        """Flags for companies with a director who also answers for a bad other company.
 
         A director's bad companies are reduced to the smallest and the greatest id: there
         is one other than the company at hand unless both are that company. So no pairs of
         companies are formed, however many boards a director sits on.
         """
         liable = self.liable_directors()
-        span = (
-            liable.join(bad.select(COMPANY).distinct(), COMPANY, "left_semi")
-            .groupBy(DIRECTOR)
-            .agg(F.min(COMPANY).alias("first_bad"), F.max(COMPANY).alias("last_bad"))
-        )
+        marked = side_by_side([df.select(COMPANY, F.lit(1).alias(n)) for n, df in bad.items()], [COMPANY])
+        ends = []
+        for n in bad:
+            company = F.when(F.col(n) == 1, F.col(COMPANY))
+            ends += [F.min(company).alias(f"first_{n}"), F.max(company).alias(f"last_{n}")]
+        span = liable.join(marked, COMPANY).groupBy(DIRECTOR).agg(*ends)
+        other = {
+            n: (F.col(f"first_{n}") != F.col(COMPANY)) | (F.col(f"last_{n}") != F.col(COMPANY)) for n in bad
+        }
         current = self.universe.restrict(liable.where("in_office"))
-        other = (F.col("first_bad") != F.col(COMPANY)) | (F.col("last_bad") != F.col(COMPANY))
-        return self.universe.flag(current.join(span, DIRECTOR).where(other), name)
+        return self._flags(current.join(span, DIRECTOR), other)
 
     def rating_periods(self) -> DataFrame:
         """Periods in which a company had the worst rating, up to the agency's next rating."""
@@ -191,8 +216,10 @@ class DirectorsFeatures:
     def is_dir_in_d_rated_company(self) -> DataFrame:
         """1 if a director in office answers for another company that is D-rated as on the
         date. A liable tenure ends on that date, so only periods around it can match."""
-        bad = self.rating_periods().where(contains_day(self.as_on.date, "rt_from_date", "rt_to_date"))
-        return self._on_other_board(bad, "director_in_d_rated_comp")
+        return self._on_other_board({"director_in_d_rated_comp": self.d_rated_companies()})
+
+    def d_rated_companies(self) -> DataFrame:
+        return self.rating_periods().where(contains_day(self.as_on.date, "rt_from_date", "rt_to_date"))
 
     def default_periods(self) -> DataFrame:
         """Reported defaults whose quarter or month contains the as-on date."""
@@ -208,16 +235,18 @@ class DirectorsFeatures:
 
     def is_dir_in_cibil_defaulted_company(self) -> DataFrame:
         """1 if a director in office answers for another company in default on the date."""
-        return self._on_other_board(self.default_periods(), "director_in_defaulted_comp")
+        return self._on_other_board({"director_in_defaulted_comp": self.default_periods()})
+
+    def directors_on_bad_boards(self) -> DataFrame:
+        """Both two-hop flags from one pass over the tenures."""
+        return self._on_other_board(
+            {
+                "director_in_d_rated_comp": self.d_rated_companies(),
+                "director_in_defaulted_comp": self.default_periods(),
+            }
+        )
 
     def get_director_features(self) -> DataFrame:
         """All ten director features, one row per company."""
-        out = self.resigned_director_feat()
-        for block in (
-            self.disq_dir_active(),
-            self.disq_dir_resigned(),
-            self.is_dir_in_d_rated_company(),
-            self.is_dir_in_cibil_defaulted_company(),
-        ):
-            out = out.join(block, COMPANY)
-        return out
+        flags = self.disqualified_directors().join(self.directors_on_bad_boards(), COMPANY)
+        return self.resigned_director_feat().join(flags, COMPANY)

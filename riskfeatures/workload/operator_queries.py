@@ -313,22 +313,23 @@ def _rolling(agg: str) -> str:
   select company_master_id, financial_year, o_orderkey as id, cast(qty as double) as amount from order_sums)"""
 
 
-def _rolled(spark, d, agg, slice_by):
+def _rolled(spark, d, agg):
     rows = run_sql(
         spark, d, f"select {COMPANY}, {FY}, o_orderkey as id, cast(qty as double) as amount from order_sums"
     )
-    out = rolling_rows(rows, [COMPANY], [FY, "id"], {"amount": "amount"}, agg, slice_by=slice_by)
-    return out.drop("amount")
+    # a company has any number of orders: a slice is a year and a range of order numbers
+    slices = [F.col(FY), F.floor(F.col("id") / 100_000)]
+    return rolling_rows(rows, [COMPANY], [FY, "id"], {"amount": "amount"}, agg, slice_by=slices).drop("amount")
 
 
 @query(_rolling("sum"))
 def rolling_sum(spark, d):
-    return _rolled(spark, d, "sum", None)
+    return _rolled(spark, d, "sum")
 
 
 @query(_rolling("avg"))
 def rolling_mean(spark, d):
-    return _rolled(spark, d, "mean", [F.col(FY)])
+    return _rolled(spark, d, "mean")
 
 
 FIN_SQL = f"""select company_master_id, cast(left(financial_year, 4) as bigint) as fy_start,

@@ -69,7 +69,7 @@ def test_two_hop_forms_no_company_pairs(spark):
     plan = DirectorsFeatures(sources, spark.range(n), AS_ON, TODAY).is_dir_in_d_rated_company()
     assert plan.groupBy("director_in_d_rated_comp").count().collect()[0]["count"] == n
     joins = re.findall(r"Join.*director_master_id", physical(plan))
-    assert joins and "first_bad" in physical(plan)
+    assert joins and "first_director_in_d_rated_comp" in physical(plan)
 
 
 def test_hot_company_keeps_every_auditor(spark):
