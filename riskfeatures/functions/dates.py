@@ -22,23 +22,34 @@ def date_lit(d: dt.date) -> Column:
 
 def parse_dmy(c: Column | str) -> Column:
     """`d/M/yyyy` text with one or two digit day and month; null when it is not a date."""
-    return F.try_to_date(col(c), "d/M/yyyy")
+    return _parse_day_first(c, "/")
 
 
 def parse_iso(c: Column | str) -> Column:
     """`yyyy-MM-dd` text; null when it is not a date."""
-    return F.try_to_date(col(c), "yyyy-MM-dd")
+    c = col(c)
+    # the length leaves out a bare year or month and a trailing time, which a cast accepts
+    return F.when(F.length(c).between(8, 10), c.try_cast("date"))
+
+
+def _parse_day_first(c: Column | str, sep: str) -> Column:
+    """Turn the parts round and cast, which is several times faster than a date pattern."""
+    c = col(c)
+    parts = [F.split_part(c, F.lit(sep), F.lit(i)) for i in (3, 2, 1)]
+    whole = F.length(c).between(8, 10) & (F.split_part(c, F.lit(sep), F.lit(4)) == "")
+    return F.when(whole, F.concat_ws("-", *parts).try_cast("date"))
 
 
 def parse_day_first(c: Column | str) -> Column:
     """`dd-MM-yyyy` text; null when it is not a date."""
-    return F.try_to_date(col(c), "dd-MM-yyyy")
+    return _parse_day_first(c, "-")
 
 
 def parse_dm_any_year(c: Column | str) -> Column:
     """`dd/MM/yyyy` or `dd/MM/yy` text; two-digit years 69-99 belong to the twentieth century."""
     since_1969 = F.regexp_replace(col(c), r"^(\d{2}/\d{2}/)(69|[7-9]\d)$", "$119$2")
-    return parse_dmy(F.regexp_replace(since_1969, r"^(\d{2}/\d{2}/)(\d{2})$", "$120$2"))
+    full = F.regexp_replace(since_1969, r"^(\d{2}/\d{2}/)(\d{2})$", "$120$2")
+    return F.try_to_date(full, "dd/MM/yyyy")
 
 
 def first_of_january(year: Column | str) -> Column:
@@ -57,8 +68,7 @@ def is_sane(c: Column | str, today: dt.date) -> Column:
 
 def fy_start_year(d: Column | str) -> Column:
     """Calendar year in which the April-to-March year of a date starts."""
-    d = col(d)
-    return F.year(d) - F.when(F.month(d) <= 3, 1).otherwise(0)
+    return F.year(F.add_months(col(d), -3))
 
 
 def financial_year(d: Column | str) -> Column:

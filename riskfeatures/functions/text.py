@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -36,9 +35,12 @@ def contains(c: Column | str, part: str) -> Column:
 def is_one_of_years(c: Column | str, years: Iterable[str]) -> Column:
     """Financial-year test that tolerates blanks after the label and still reaches the scan.
 
-    The prefix test on the raw column can be pushed into a Parquet scan, into partition
+    The range test on the raw column can be pushed into a Parquet scan, into partition
     pruning and into JDBC; the exact test on the stripped label decides.
     """
-    raw, years = col(c), list(years)
-    pushed = reduce(lambda a, b: a | b, [raw.startswith(y) for y in years], F.lit(False))
-    return pushed & strip(raw).isin(years)
+    raw, years = col(c), sorted(years)
+    if not years:
+        return F.lit(False)
+    last = years[-1]
+    beyond = last[:-1] + chr(ord(last[-1]) + 1)
+    return (raw >= years[0]) & (raw < beyond) & strip(raw).isin(years)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.dates import AsOn, financial_year, parse_iso, year_of_label
+from ..functions.dates import AsOn, date_lit, financial_year, parse_iso, year_of_label
 from ..functions.text import is_one_of_years, strip, strip_lower, strip_upper
 from ..operators.answers import NEUTRAL_SCORE, answer_scores_by_year
 from ..operators.latest import any_per_key, first_per_key, latest_per_key
@@ -58,27 +58,36 @@ class AuditorFeatures:
         )
         return latest_per_key(forms, STATEMENT, "inserted_at", ties=["wthr_qualified"]).drop("inserted_at")
 
-    def auditor_rows(self) -> DataFrame:
-        """Auditor rows of both sources; `source` tells which one they come from."""
-        cols = [*STATEMENT, "pan_no", "t_category", "wthr_qualified"]
-        plain = (
-            self._scan("aoc4_auditor_dtls", *STATEMENT, "pan_no", "t_category")
-            .withColumns({"pan_no": strip_upper("pan_no"), "t_category": strip_lower("t_category")})
-            .distinct()
-            .join(self.form_headers(), STATEMENT, "left")
-        )
-        xbrl = self._scan("aoc4xbrl_auditor_dtls", *STATEMENT, "aud_firm_pan", "category", "wthr_qualified").select(
+    def _form_auditors(self) -> DataFrame:
+        rows = self._scan("aoc4_auditor_dtls", *STATEMENT, "pan_no", "t_category")
+        return rows.withColumns({"pan_no": strip_upper("pan_no"), "t_category": strip_lower("t_category")})
+
+    def _xbrl_auditors(self) -> DataFrame:
+        rows = self._scan("aoc4xbrl_auditor_dtls", *STATEMENT, "aud_firm_pan", "category", "wthr_qualified")
+        return rows.select(
             *STATEMENT,
             strip_upper("aud_firm_pan").alias("pan_no"),
             strip_lower("category").alias("t_category"),
             strip_lower("wthr_qualified").alias("wthr_qualified"),
         )
-        return plain.select(*cols, F.lit(0).alias("source")).unionByName(
-            xbrl.distinct().select(*cols, F.lit(1).alias("source"))
-        )
+
+    def auditor_rows(self) -> DataFrame:
+        """Auditor rows of both sources; `source` tells which one they come from."""
+        cols = [*STATEMENT, "pan_no", "t_category", "wthr_qualified"]
+        form = self._form_auditors().distinct().join(self.form_headers(), STATEMENT, "left")
+        xbrl = self._xbrl_auditors().distinct()
+        return form.select(*cols, F.lit(0).alias("source")).unionByName(xbrl.select(*cols, F.lit(1).alias("source")))
+
+    def audited_years(self) -> DataFrame:
+        """Company and year of every auditor id of a known statement: the keys of the facts,
+        straight from the scans."""
+        cols = [*STATEMENT, "pan_no"]
+        rows = self._form_auditors().select(*cols).unionByName(self._xbrl_auditors().select(*cols))
+        return explode_ids(rows.dropna(subset=STATEMENT), "pan_no", "auditor_pan", self.strict).select(COMPANY, FY)
 
     def resignations(self) -> DataFrame:
         """One row per company, auditor and financial year of the resignation date."""
+        first, last = dt.date(self.as_on.start_year, 4, 1), dt.date(self.as_on.end_year, 3, 31)
         rows = (
             self._scan("adt3_general_resignation_dtls", COMPANY, FY, "auditor_pan", "auditor_firm", "auditor_resignation_date")
             .select(
@@ -87,20 +96,16 @@ class AuditorFeatures:
                 strip("auditor_firm").alias("auditor_firm"),
                 parse_iso("auditor_resignation_date").alias("auditor_resignation_date"),
             )
+            # the days of the valid years, which saves working out the year of every row
+            .where(F.col("auditor_resignation_date").between(date_lit(first), date_lit(last)))
             .withColumn(FY, financial_year("auditor_resignation_date"))
-            .where(F.col(FY).isin(self.as_on.valid_years))
         )
         one = any_per_key(rows, [COMPANY, FY, "auditor_pan"], ties=["auditor_resignation_date", "auditor_firm"])
         return one.withColumn("has_auditor_resigned", F.lit(1))
 
-    def auditor_mentions(self) -> DataFrame:
-        """One row for each auditor id named in an auditor row of a known statement."""
-        each = explode_ids(self.auditor_rows(), "pan_no", "auditor_pan", self.strict)
-        return each.dropna(subset=[COMPANY, "auditor_pan", STMT, FY])
-
     def auditor_facts(self) -> DataFrame:
         """One row per company, auditor, statement and year with its three flags."""
-        each = self.auditor_mentions()
+        each = explode_ids(self.auditor_rows(), "pan_no", "auditor_pan", self.strict)
         key = [COMPANY, "auditor_pan", STMT, FY]
         # the form source comes first, so its row wins where both name an auditor
         one = first_per_key(
@@ -123,8 +128,7 @@ class AuditorFeatures:
         flags = list(FLAG_SCORES.values())
         facts = self.auditor_facts().select(COMPANY, FY, STMT, "auditor_pan", *flags)
         spine = company_years(self.universe.ids, self.as_on.valid_years)
-        # the mentions have the same years as the facts, without their windows and joins
-        full = complete_with(facts, spine, [COMPANY, FY], present=self.auditor_mentions())
+        full = complete_with(facts, spine, [COMPANY, FY], present=self.audited_years())
         full = full.withColumn("financial_year_start", year_of_label(FY))
         neutral = {c: F.coalesce(F.col(c).cast("double"), F.lit(NEUTRAL_SCORE)) for c in flags}
         rolled = rolling_rows(
@@ -169,5 +173,4 @@ class AuditorFeatures:
         """36 scores per company. By default a company has one row for each combination of
         distinct flag scores in the as-on year; `one_row` takes its last row of that year."""
         flags = self.last_flag_scores() if one_row else self.flag_scores()
-        scores = self.universe.ids.join(self.caro_scores(), COMPANY, "left").join(flags, COMPANY, "left")
-        return scores if one_row else scores.distinct()
+        return self.universe.ids.join(self.caro_scores(), COMPANY, "left").join(flags, COMPANY, "left")

@@ -39,12 +39,22 @@ def test_year_filter_takes_blanks_after_the_label(spark):
 
 
 @pytest.mark.parametrize(
-    "text, day", [("1/2/2020", D_(2020, 2, 1)), ("31/12/1999", D_(1999, 12, 31)), ("2020-01-02", None), ("31/02/2020", None), (None, None)]
+    "text, day", [("1/2/2020", D_(2020, 2, 1)), ("31/12/1999", D_(1999, 12, 31)), ("2020-01-02", None), ("31/02/2020", None), ("1/2/20", None), ("1/2/2020/3", None), ("3/1/2/2020", None), ("1/2/2020 x", None), ("//2020", None), ("01/02/20/3", None), (None, None)]
 )
 def test_parse_dmy(spark, text, day):
     assert one(spark, D.parse_dmy("x"), text) == day
 
 
+@pytest.mark.parametrize("text, day", [("2020-02-03", D_(2020, 2, 3)), ("2020-02-30", None), ("2020", None), ("2020-02", None), ("2020-02-03 10:00:00", None), ("", None)])
+def test_parse_iso(spark, text, day):
+    assert one(spark, D.parse_iso("x"), text) == day
+
+
+def test_parse_day_first(spark):
+    assert one(spark, D.parse_day_first("x"), "03-02-2020") == D_(2020, 2, 3)
+    assert one(spark, D.parse_day_first("x"), "2020-02-03") is None
+
+
 @pytest.mark.parametrize(
     "text, day",
     [
