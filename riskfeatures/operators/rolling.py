@@ -3,8 +3,8 @@
 A plain window puts a whole key into one task. That is right where a key has few rows by
 construction (one per financial year, one per calendar day). Where a key is unbounded,
 pass `slice_by`: leading order columns that cut a key into slices which lie one after the
-other. The window then runs per slice, and only the few rows at slice edges, whose frame
-reaches back into an earlier slice, are looked at per key.
+other. Keys with many rows are found by counting and run slice by slice; only the few rows
+at slice edges, whose frame reaches back into an earlier slice, are looked at per key.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import columns, growth_rate, ieee_div, nan_to_null
 
-_POS, _BACK = "__pos", "__back"
+_POS, _AHEAD, _HOT = "__pos", "__ahead", "__hot"
+
+# A key with more rows than this is cut into slices.
+HOT_ROWS = 1_000_000
 
 _AGGREGATES = {"sum": F.sum, "mean": F.avg}
 
@@ -41,11 +44,15 @@ def rolling_rows(
     agg: str = "mean",
     windows: Sequence[int] = (1, 2, 3, 4),
     slice_by: Sequence[Column] | None = None,
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add `{prefix}_{n}yrs`: sum or mean of the last n rows of the key, null if fewer.
 
     `features` maps an output prefix to its value column; `order` must make rows of a key
-    distinct. `slice_by` are expressions that never decrease along `order`.
+    distinct. `slice_by` are expressions that never decrease along `order`; keys with more
+    than `hot_rows` rows are then cut by them. `counted` is a cheaper frame to count keys
+    in, which may count too many rows but not too few.
     """
     if agg not in _AGGREGATES:
         raise ValueError(f"aggregate must be one of {sorted(_AGGREGATES)}, not {agg!r}")
@@ -54,31 +61,34 @@ def rolling_rows(
     if slice_by is None:
         return df.withColumns(_rolling_columns(features, windows, agg, by_key))
 
-    depth = max(windows) - 1
+    # No more than (all rows / hot_rows) keys can be hot, which bounds what is broadcast.
+    many = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = many.where(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
+    marked = df.join(F.broadcast(hot), list(keys), "left").select(*df.columns, _HOT)
     slices = [f"__slice{i}" for i in range(len(slice_by))]
-    cut = df.withColumns(dict(zip(slices, slice_by)))
-    by_slice = Window.partitionBy(*keys, *slices)
-    if depth == 0:
-        in_slice = by_slice.orderBy(*ordering)
-        return cut.withColumns(_rolling_columns(features, windows, agg, in_slice)).drop(*slices)
+    cut = marked.withColumns({s: F.when(F.col(_HOT), e) for s, e in zip(slices, slice_by)})
+
+    depth = max(windows) - 1
+    in_slice = Window.partitionBy(*keys, *slices).orderBy(*ordering)
+    names = [f"{p}_{n}yrs" for p in features for n in windows]
     local = cut.withColumns(
         {
-            **_rolling_columns(features, windows, agg, by_slice.orderBy(*ordering)),
-            _POS: F.row_number().over(by_slice.orderBy(*ordering)),
+            **_rolling_columns(features, windows, agg, in_slice),
+            _POS: F.row_number().over(in_slice),
             # how many of the next rows lie in the same slice, counted up to `depth`
-            _BACK: F.count(F.lit(1)).over(by_slice.orderBy(*ordering).rowsBetween(1, depth)),
+            _AHEAD: F.count(F.lit(1)).over(in_slice.rowsBetween(1, max(depth, 1))),
         }
     )
-    inner = local.where(F.col(_POS) > depth)
+    starts_slice = F.coalesce(F.col(_HOT), F.lit(False)) & (F.col(_POS) <= depth)
+    ends_slice = F.coalesce(F.col(_HOT), F.lit(False)) & (F.col(_AHEAD) < depth)
     # The first and last `depth` rows of every slice hold all that a first row can reach.
-    edge = local.where((F.col(_POS) <= depth) | (F.col(_BACK) < depth))
-    names = [f"{p}_{n}yrs" for p in features for n in windows]
     repaired = (
-        edge.drop(*names)
+        local.where(starts_slice | ends_slice)
+        .drop(*names)
         .withColumns(_rolling_columns(features, windows, agg, by_key))
-        .where(F.col(_POS) <= depth)
+        .where(starts_slice)
     )
-    return inner.unionByName(repaired).drop(*slices, _POS, _BACK)
+    return local.where(~starts_slice).unionByName(repaired).drop(*slices, _POS, _AHEAD, _HOT)
 
 
 def history_names(features: Sequence[str], growth: Sequence[str] = (), n: int = 4) -> list[str]:

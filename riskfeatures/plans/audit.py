@@ -12,7 +12,7 @@ from ..operators.answers import NEUTRAL_SCORE, answer_scores_by_year
 from ..operators.latest import any_per_key, first_per_key, latest_per_key
 from ..operators.lists import explode_ids
 from ..operators.members import COMPANY, Universe, company_years, complete_with
-from ..operators.rolling import rolling_rows
+from ..operators.rolling import HOT_ROWS, rolling_rows
 from ..sources.registry import Sources
 
 FY, STMT = "financial_year", "is_consolidated_standalone_stmt"
@@ -36,8 +36,10 @@ WINDOWS = (1, 2, 3, 4)
 
 
 class AuditorFeatures:
-    def __init__(self, sources: Sources, companies, as_on_date: dt.date, today: dt.date | None = None, strict: bool = False):
-        """`strict` keeps the blanks around ids in auditor lists."""
+    def __init__(self, sources: Sources, companies, as_on_date: dt.date, today: dt.date | None = None, strict: bool = False, hot_rows: int = HOT_ROWS):
+        """`strict` keeps the blanks around ids in auditor lists. A company with more than
+        `hot_rows` auditor rows is spread over several tasks."""
+        self.hot_rows = hot_rows
         self.sources = sources
         self.universe = Universe.of(sources.spark, companies)
         self.as_on = AsOn(as_on_date, today or dt.date.today())
@@ -128,7 +130,8 @@ class AuditorFeatures:
         flags = list(FLAG_SCORES.values())
         facts = self.auditor_facts().select(COMPANY, FY, STMT, "auditor_pan", *flags)
         spine = company_years(self.universe.ids, self.as_on.valid_years)
-        full = complete_with(facts, spine, [COMPANY, FY], present=self.audited_years())
+        audited = self.audited_years()
+        full = complete_with(facts, spine, [COMPANY, FY], present=audited)
         full = full.withColumn("financial_year_start", year_of_label(FY))
         neutral = {c: F.coalesce(F.col(c).cast("double"), F.lit(NEUTRAL_SCORE)) for c in flags}
         rolled = rolling_rows(
@@ -137,8 +140,10 @@ class AuditorFeatures:
             ["financial_year_start", STMT, "auditor_pan"],
             FLAG_SCORES,
             windows=WINDOWS,
-            # a company may have any number of auditors: cut its rows by year, statement, id
+            # a company may have any number of auditors: a hot one is cut by year, statement, id
             slice_by=[F.col("financial_year_start"), F.col(STMT), F.substring("auditor_pan", 1, 3)],
+            counted=audited,
+            hot_rows=self.hot_rows,
         )
         return rolled.where(F.col(FY) == self.as_on.financial_year)
 

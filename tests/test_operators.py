@@ -65,8 +65,8 @@ def _brute_rolling(values, n, agg):
 
 
 @pytest.mark.parametrize("agg", ["sum", "mean"])
-@pytest.mark.parametrize("sliced", [False, True])
-def test_rolling_rows_against_brute_force(spark, agg, sliced):
+@pytest.mark.parametrize("hot_rows", [None, 0, 4, 1000])
+def test_rolling_rows_against_brute_force(spark, agg, hot_rows):
     rng = random.Random(3)
     data = []
     for k, size in (("hot", 60), ("two", 2), ("five", 5)):
@@ -74,8 +74,8 @@ def test_rolling_rows_against_brute_force(spark, agg, sliced):
         for i in range(size):
             data.append((k, rng.choice([2001, 2002, 2003, 2010]), i, rng.choice([0.0, 0.5, 1.0, None])))
     df = spark.createDataFrame(data, "k string, y int, i int, v double")
-    slices = [F.col("y"), F.floor(F.col("i") / 7)] if sliced else None
-    got = rolling_rows(df, ["k"], ["y", "i"], {"m": "v"}, agg, slice_by=slices)
+    slices = None if hot_rows is None else [F.col("y"), F.floor(F.col("i") / 7)]
+    got = rolling_rows(df, ["k"], ["y", "i"], {"m": "v"}, agg, slice_by=slices, hot_rows=hot_rows or 0)
     assert got.columns == ["k", "y", "i", "v"] + [f"m_{n}yrs" for n in (1, 2, 3, 4)]
     want = []
     for k, rows in itertools.groupby(sorted(data, key=lambda r: r[:3]), key=lambda r: r[0]):
@@ -88,7 +88,7 @@ def test_rolling_rows_against_brute_force(spark, agg, sliced):
 def test_rolling_one_row_is_the_input(spark):
     df = spark.createDataFrame([("a", i, float(i)) for i in range(5)], "k string, i int, v double")
     for slices in (None, [F.col("i")]):
-        got = rolling_rows(df, ["k"], ["i"], {"m": "v"}, windows=(1,), slice_by=slices)
+        got = rolling_rows(df, ["k"], ["i"], {"m": "v"}, windows=(1,), slice_by=slices, hot_rows=0)
         assert all(r.m_1yrs == r.v for r in got.collect())
     with pytest.raises(ValueError):
         rolling_rows(df, ["k"], ["i"], {"m": "v"}, agg="max")

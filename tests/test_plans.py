@@ -84,7 +84,7 @@ def test_hot_company_keeps_every_auditor(spark):
     frames = {"aoc4xbrl_auditor_dtls": rows}
     for name in ("form_aoc4_dtls", "aoc4_auditor_dtls", "adt3_general_resignation_dtls"):
         frames[name] = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in TABLES[name].items()))
-    plan = AuditorFeatures(Sources(spark, frames), spark.range(1, 6002), AS_ON, TODAY)
+    plan = AuditorFeatures(Sources(spark, frames), spark.range(1, 6002), AS_ON, TODAY, hot_rows=100)
     history = plan.auditor_history().where("company_master_id = 1").orderBy("auditor_pan")
     values = [0.5, 0.5, 0.5] + [1.0 if i % 10 == 9 else 0.0 for i in range(3000)]
     want = [sum(values[i : i + 4]) / 4 for i in range(3000)]
