@@ -62,7 +62,7 @@ def seconds(spark: SparkSession, sf_dir: str, name: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = session(cpus)
     times = {}

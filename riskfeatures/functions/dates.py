@@ -27,17 +27,15 @@ def parse_dmy(c: Column | str) -> Column:
 
 def parse_iso(c: Column | str) -> Column:
     """`yyyy-MM-dd` text; null when it is not a date."""
-    c = col(c)
-    # the length leaves out a bare year or month and a trailing time, which a cast accepts
-    return F.when(F.length(c).between(8, 10), c.try_cast("date"))
+    # the pattern leaves out a bare year or month and a trailing time, which a cast accepts
+    return F.regexp_extract(col(c), r"^\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date")
 
 
 def _parse_day_first(c: Column | str, sep: str) -> Column:
-    """Turn the parts round and cast, which is several times faster than a date pattern."""
-    c = col(c)
-    parts = [F.split_part(c, F.lit(sep), F.lit(i)) for i in (3, 2, 1)]
-    whole = F.length(c).between(8, 10) & (F.split_part(c, F.lit(sep), F.lit(4)) == "")
-    return F.when(whole, F.concat_ws("-", *parts).try_cast("date"))
+    """Turn the parts round and cast: cheaper than a date pattern, above all on other texts,
+    of which only the two hyphens remain. The text is named once, since filters repeat it."""
+    day_first = rf"(?s)^(?:(\d{{1,2}}){sep}(\d{{1,2}}){sep}(\d{{4}})|.*)$"
+    return F.regexp_replace(col(c), day_first, "$3-$2-$1").try_cast("date")
 
 
 def parse_day_first(c: Column | str) -> Column:
