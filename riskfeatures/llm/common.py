@@ -21,7 +21,7 @@ def lower_ascii(text: Column) -> Column:
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds by bytes as well, since texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def shared_folder(spark: SparkSession) -> str:

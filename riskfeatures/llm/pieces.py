@@ -21,7 +21,8 @@ SPACE = "▁"
 # A full run of 16 spaces merges no further, so longer runs are cut there, from the left.
 WORDS = re.compile(f"{SPACE}{{16}}(?={SPACE})|{SPACE}*[^{SPACE}]+|{SPACE}+")
 NONE = np.iinfo(np.int32).max
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
+SLICE = 128
 
 
 def vocabulary(path: str) -> tuple[list[str], list[float], list[int], int]:
@@ -216,7 +217,11 @@ def encode_pieces(spark: SparkSession, df: DataFrame, model: str, text: str = "t
         if not held:
             held.append(Codec(*shipped.value))
         for texts in batches:
-            ids, decoded = held[0].encode([t if isinstance(t, str) else None for t in texts])
+            ids, decoded = [], []
+            for at in range(0, len(texts), SLICE):  # words of few texts are held at a time
+                more = held[0].encode([t if isinstance(t, str) else None for t in texts[at : at + SLICE]])
+                ids += more[0]
+                decoded += more[1]
             yield pd.DataFrame({"ids": ids, "decoded": decoded})
 
     encode = F.pandas_udf(run, "ids array<int>, decoded string")

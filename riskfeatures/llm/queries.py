@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces
+from . import pieces, pii
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -18,13 +18,21 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts, spans and their digest."""
+    return pii.digests(pii.pii_spans(read(spark, sf_dir, "documents")))
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, counts and round trip of every text, as digests."""
     return pieces.digests(pieces.encode_pieces(spark, read(spark, sf_dir, "documents"), piece_model()))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pii": op4_pii,
     "op8_pieces": op8_pieces,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_pii": pii.oracle(),
+}
