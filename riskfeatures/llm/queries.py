@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, pii
+from . import pieces, pii, spotsigs
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -28,11 +28,18 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_pieces(spark, read(spark, sf_dir, "documents"), piece_model()))
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and edited texts, and their likeness."""
+    return spotsigs.fingerprints(spark, read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op8_pieces": op8_pieces,
+    "op10_spotsigs": op10_spotsigs,
 }
 
 ORACLE: dict[str, str] = {
     "op4_pii": pii.oracle(),
+    "op10_spotsigs": spotsigs.oracle(),
 }
