@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, pii, spotsigs
+from . import license_scan, pieces, pii, spotsigs
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -18,6 +18,11 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every text: places of base phrases, labels and score."""
+    return license_scan.digests(license_scan.scan_licenses(read(spark, sf_dir, "documents")))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text: counts, spans and their digest."""
     return pii.digests(pii.pii_spans(read(spark, sf_dir, "documents")))
@@ -34,12 +39,14 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op4_pii": op4_pii,
     "op8_pieces": op8_pieces,
     "op10_spotsigs": op10_spotsigs,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_license_scan": license_scan.oracle(),
     "op4_pii": pii.oracle(),
     "op10_spotsigs": spotsigs.oracle(),
 }
