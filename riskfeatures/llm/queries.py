@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, pieces, pii, spotsigs
+from . import license_scan, near_dedup, pieces, pii, quality, spotsigs
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -23,6 +23,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digests(license_scan.scan_licenses(read(spark, sf_dir, "documents")))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, on runs of four words."""
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=4)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text: counts, spans and their digest."""
     return pii.digests(pii.pii_spans(read(spark, sf_dir, "documents")))
@@ -33,6 +38,12 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_pieces(spark, read(spark, sf_dir, "documents"), piece_model()))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labelled ones that are not held out."""
+    docs, labels = (read(spark, sf_dir, t) for t in ("documents", "labels"))
+    return quality.digests(quality.classify(spark, docs, labels))
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all texts and edited texts, and their likeness."""
     return spotsigs.fingerprints(spark, read(spark, sf_dir, "documents"))
@@ -40,13 +51,16 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op3_near_dedup": op3_near_dedup,
     "op4_pii": op4_pii,
     "op8_pieces": op8_pieces,
+    "op9_quality": op9_quality,
     "op10_spotsigs": op10_spotsigs,
 }
 
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
+    "op3_near_dedup": near_dedup.oracle(),
     "op4_pii": pii.oracle(),
     "op10_spotsigs": spotsigs.oracle(),
 }
