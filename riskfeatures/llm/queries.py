@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, near_dedup, pieces, pii, quality, spotsigs
+from . import ann, chat, license_scan, mixing, near_dedup, pieces, pii, quality, spotsigs
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -23,6 +23,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digests(license_scan.scan_licenses(read(spark, sf_dir, "documents")))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability and decision of every document for flattened target shares."""
+    return mixing.digests(mixing.mix(read(spark, sf_dir, "documents")))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, on runs of four words."""
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=4)
@@ -33,6 +38,17 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.pii_spans(read(spark, sf_dir, "documents")))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recovered role and canonical form of every turn."""
+    return chat.digests(chat.recover_roles(read(spark, sf_dir, "conversations")))
+
+
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, counts and round trip of every text, as digests."""
     return pieces.digests(pieces.encode_pieces(spark, read(spark, sf_dir, "documents"), piece_model()))
@@ -51,8 +67,11 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_mixing": op2_mixing,
     "op3_near_dedup": op3_near_dedup,
     "op4_pii": op4_pii,
+    "op5_chat": op5_chat,
+    "op7_ann": op7_ann,
     "op8_pieces": op8_pieces,
     "op9_quality": op9_quality,
     "op10_spotsigs": op10_spotsigs,
