@@ -134,14 +134,13 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         now = ids.join(labels, "id", "full_outer").select("id", F.coalesce("comp", "id").alias("comp"))
     now, both = stored(now, "labels"), stored(both.distinct(), "edges")
     while True:
-        heard = both.join(now, both.a == now.id).groupBy(F.col("b").alias("id")).agg(F.min("comp").alias("heard"))
-        taken = now.join(heard, "id", "left").select("id", "comp", F.least("comp", F.coalesce("heard", "comp")).alias("best"))
-        taken = stored(taken, "labels")
-        up = taken.select(F.col("id").alias("best"), F.col("best").alias("above"))
-        then = stored(taken.join(up, "best", "left").select("id", F.col("comp").alias("was"), F.coalesce("above", "best").alias("comp")), "labels")
-        changed = then.where("was <> comp").limit(1).count()
+        # each id asks its neighbours, and the id that it is labelled with, for their labels
+        asks = both.unionByName(now.where("id <> comp").selectExpr("comp as a", "id as b"))
+        heard = asks.join(now, asks.a == now.id).select(F.col("b").alias("id"), "comp", F.lit(None).cast("bigint").alias("was"))
+        best = heard.unionByName(now.select("id", "comp", F.col("comp").alias("was"))).groupBy("id")
+        then = stored(best.agg(F.min("comp").alias("comp"), F.max("was").alias("was")), "labels")
         now = then.select("id", "comp")
-        if not changed:
+        if not then.where("was <> comp").limit(1).count():
             return now
 
 
@@ -190,7 +189,7 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, key: str = "do
         rest = stored(rest, "buckets")
         apart = rest.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key")
         rows = stored(rest.join(apart, "key"), "buckets")
-        pivots_at_once *= 8
+        pivots_at_once *= 32
 
     of_rep = classes if labels is None else classes.join(labels, classes.rep == labels.id, "left").select("digest", F.coalesce("comp", "rep").alias("rep"))
     found = every.select("id", "n", "digest").join(of_rep.select("digest", F.col("rep").alias("comp")), "digest", "left")
