@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, license_scan, mixing, near_dedup, pieces, pii, quality, spotsigs
+from . import ann, chat, license_scan, mixing, near_dedup, pieces, pii, quality, spotsigs, suffix_dedup
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -43,6 +43,11 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.recover_roles(read(spark, sf_dir, "conversations")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the strings of 50 bytes that an earlier document has."""
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")))
+
+
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
     vectors = read(spark, sf_dir, "embeddings")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_pii": op4_pii,
     "op5_chat": op5_chat,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_ann": op7_ann,
     "op8_pieces": op8_pieces,
     "op9_quality": op9_quality,
@@ -81,5 +87,6 @@ ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op3_near_dedup": near_dedup.oracle(),
     "op4_pii": pii.oracle(),
+    "op6_suffix_dedup": suffix_dedup.oracle(),
     "op10_spotsigs": spotsigs.oracle(),
 }
