@@ -130,12 +130,19 @@ def cap_at(c: Column | str, as_on: dt.date) -> Column:
 # --- driver-side calendar ----------------------------------------------------------------
 
 
+def first_of_april(d: dt.date) -> dt.date:
+    """The first of April on or before a date: where its financial year starts."""
+    same_year = dt.date(d.year, 4, 1)
+    return same_year if same_year <= d else dt.date(d.year - 1, 4, 1)
+
+
 def indian_financial_year(d: dt.date, n: int = 0) -> tuple[dt.date, dt.date]:
     """Same as :func:`fy_bounds` for one Python date."""
     if n < 0:
         raise ValueError("n must not be negative")
-    y = (d.year if d.month > 3 else d.year - 1) - n
-    return dt.date(y, 4, 1), dt.date(y + 1, 3, 31)
+    start = first_of_april(d)
+    start = start.replace(year=start.year - n)
+    return start, start.replace(year=start.year + 1) - dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -145,18 +152,22 @@ class AsOn:
     date: dt.date
     today: dt.date = field(default_factory=dt.date.today)
 
+    def _complete(self) -> list[tuple[dt.date, dt.date]]:
+        """The four complete financial years before the as-on date, oldest first."""
+        return [indian_financial_year(self.date, n) for n in (4, 3, 2, 1)]
+
     @property
-    def end_year(self) -> int:
-        return self.date.year - 1 if self.date.month <= 3 else self.date.year
+    def first_day(self) -> dt.date:
+        return self._complete()[0][0]
 
     @property
-    def start_year(self) -> int:
-        return self.end_year - 4
+    def last_day(self) -> dt.date:
+        return self._complete()[-1][1]
 
     @property
     def valid_years(self) -> list[str]:
-        """The four complete financial years before the as-on date, oldest first."""
-        return [f"{y}-{y + 1}" for y in range(self.start_year, self.end_year)]
+        """Labels of the complete financial years."""
+        return [f"{first.year}-{last.year}" for first, last in self._complete()]
 
     @property
     def financial_year(self) -> str:

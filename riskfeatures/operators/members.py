@@ -12,15 +12,13 @@ COMPANY = "company_master_id"
 class Universe:
     """The companies to report on.
 
-    A Python list is small by construction: its ids are also pushed into the scans. A
-    DataFrame may be of any size: the scans are then not reduced unless `reduce_scans` is
-    set, since the final join with the universe drops other companies anyway and reducing
-    would shuffle the raw tables.
+    However it is given, every read keeps the universe's companies alone: by a semi join,
+    whose small side Spark broadcasts by its own size check, and for a list of ids also by
+    bounds or values that reach the scan.
     """
 
-    def __init__(self, ids: DataFrame, reduce_scans: bool = False, literal_ids: Sequence[int] | None = None):
+    def __init__(self, ids: DataFrame, literal_ids: Sequence[int] | None = None):
         self.ids = ids
-        self.reduce_scans = reduce_scans
         self.literal_ids = literal_ids
 
     @classmethod
@@ -28,20 +26,22 @@ class Universe:
         if isinstance(companies, Universe):
             return companies
         if isinstance(companies, DataFrame):
-            ids = companies.select(F.col(companies.columns[0]).cast("bigint").alias(COMPANY))
-            return cls(ids.dropna().distinct())
+            name = COMPANY if COMPANY in companies.columns else companies.columns[0]
+            if name != COMPANY and len(companies.columns) > 1:
+                raise ValueError(f"companies need a column {COMPANY!r} or a single column, not {companies.columns}")
+            return cls(companies.select(F.col(name).cast("bigint").alias(COMPANY)).dropna().distinct())
         listed = sorted({int(c) for c in companies})
         ids = spark.createDataFrame([(c,) for c in listed], f"{COMPANY} bigint")
         return cls(ids, literal_ids=listed)
 
     def restrict(self, df: DataFrame) -> DataFrame:
-        """Rows of the universe's companies where that can be had without a shuffle."""
-        # Fixed bound: longer lists go through a join, which Spark broadcasts by size.
-        if self.literal_ids is not None and len(self.literal_ids) <= 1000:
-            return df.where(F.col(COMPANY).isin(self.literal_ids))
-        if self.literal_ids is not None or self.reduce_scans:
-            return df.join(self.ids, COMPANY, "left_semi")
-        return df
+        """Rows of the universe's companies."""
+        if self.literal_ids:
+            # how the ids reach the scan depends on their number, which rows remain does not
+            df = df.where(F.col(COMPANY).between(self.literal_ids[0], self.literal_ids[-1]))
+            if len(self.literal_ids) <= 1000:
+                return df.where(F.col(COMPANY).isin(self.literal_ids))
+        return df.join(self.ids, COMPANY, "left_semi")
 
     def flag(self, members: DataFrame, name: str) -> DataFrame:
         """The universe with a 0/1 column: is the company among the members?"""

@@ -61,10 +61,9 @@ def rolling_rows(
     if slice_by is None:
         return df.withColumns(_rolling_columns(features, windows, agg, by_key))
 
-    # No more than (all rows / hot_rows) keys can be hot, which bounds what is broadcast.
     many = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = many.where(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
-    marked = df.join(F.broadcast(hot), list(keys), "left").select(*df.columns, _HOT)
+    marked = df.join(hot, list(keys), "left").select(*df.columns, _HOT)
     slices = [f"__slice{i}" for i in range(len(slice_by))]
     cut = marked.withColumns({s: F.when(F.col(_HOT), e) for s, e in zip(slices, slice_by)})
 

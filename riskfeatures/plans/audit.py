@@ -89,7 +89,7 @@ class AuditorFeatures:
 
     def resignations(self) -> DataFrame:
         """One row per company, auditor and financial year of the resignation date."""
-        first, last = dt.date(self.as_on.start_year, 4, 1), dt.date(self.as_on.end_year, 3, 31)
+        first, last = self.as_on.first_day, self.as_on.last_day
         rows = (
             self._scan("adt3_general_resignation_dtls", COMPANY, FY, "auditor_pan", "auditor_firm", "auditor_resignation_date")
             .select(
@@ -174,8 +174,8 @@ class AuditorFeatures:
         )
         return answer_scores_by_year(answers, COMPANY, FY, self.as_on.valid_years, ANSWER_SCORES)
 
-    def get_auditor_features(self, one_row: bool = False) -> DataFrame:
-        """36 scores per company. By default a company has one row for each combination of
-        distinct flag scores in the as-on year; `one_row` takes its last row of that year."""
+    def get_auditor_features(self, one_row: bool = True) -> DataFrame:
+        """36 scores per company, of its last row of the as-on year; without `one_row`, one
+        row for each combination of the distinct flag scores in that year."""
         flags = self.last_flag_scores() if one_row else self.flag_scores()
         return self.universe.ids.join(self.caro_scores(), COMPANY, "left").join(flags, COMPANY, "left")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import AsOn, year_of_label
 from ..functions.numbers import columns, ieee_div, nan_to_null, sum_cols, zero_if_null
-from ..functions.text import is_one_of_years, strip_lower
+from ..functions.text import is_one_of_years, strip, strip_lower
 from ..operators.latest import latest_per_key, prefer_consolidated
 from ..operators.members import COMPANY, Universe
 from ..operators.rolling import history_features, history_names
@@ -122,7 +122,7 @@ class EfFinancialFeatures:
 
     def _scan(self, table: str, amounts: Sequence[str]) -> DataFrame:
         df = self.sources.read(table, [*STATEMENT, "document_date", *amounts])
-        return self.universe.restrict(df).where(is_one_of_years(FY, self.as_on.valid_years))
+        return self.universe.restrict(df).where(is_one_of_years(FY, self.as_on.valid_years)).withColumn(FY, strip(FY))
 
     def source_frames(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Balance sheets, profit and loss statements and ratios of the valid years."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.dates import AsOn, year_of_label
 from ..functions.numbers import columns, inf_to_null, rel_change, safe_div, sum_cols
-from ..functions.text import is_one_of_years, strip_lower
+from ..functions.text import is_one_of_years, strip, strip_lower
 from ..operators.latest import latest_per_key, prefer_consolidated
 from ..operators.members import COMPANY, Universe
 from ..sources.registry import Sources
@@ -123,7 +123,7 @@ class FsFinancialFeatures:
     def _scan(self, table: str, row_id: str, amounts: Sequence[str]) -> DataFrame:
         """Statement rows of the as-on financial year only."""
         df = self.sources.read(table, [*STATEMENT, row_id, "form_id", *amounts])
-        return self.universe.restrict(df).where(is_one_of_years(FY, [self.as_on.financial_year]))
+        return self.universe.restrict(df).where(is_one_of_years(FY, [self.as_on.financial_year])).withColumn(FY, strip(FY))
 
     def extract_financial(self, balance: DataFrame, profit: DataFrame, ratio: DataFrame) -> DataFrame:
         latest = []

@@ -25,7 +25,7 @@ def scorecard(sources: Sources, companies, as_on_date: dt.date, today: dt.date |
     args = (sources, universe, as_on_date, today)
     out = universe.ids
     for prefix, block in (
-        ("", AuditorFeatures(*args).get_auditor_features(one_row=True)),
+        ("", AuditorFeatures(*args).get_auditor_features()),
         ("", DirectorsFeatures(*args).get_director_features()),
         ("ef_", EfFinancialFeatures(*args).get_ef_financials().drop("financial_year", "financial_year_start")),
         ("fs_", FsFinancialFeatures(*args).get_fs_financials().drop("financial_year", "financial_year_start")),

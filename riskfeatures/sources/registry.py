@@ -44,15 +44,19 @@ class Sources:
         password: str | None = None,
         driver: str | None = None,
         schema: str | None = None,
-        partition: Mapping[str, object] | None = None,
+        partition: Mapping[str, Mapping[str, object] | None] | None = None,
         fetchsize: int = 10_000,
     ) -> "Sources":
-        """Tables of a database. `partition` holds partitionColumn, lowerBound, upperBound
-        and numPartitions, so that executors read slices of a table in parallel."""
+        """Tables of a database. `partition` has for each table that is read its
+        partitionColumn, lowerBound, upperBound and numPartitions, so that executors read
+        slices in parallel, or None for a table to be read by one task."""
+        slices = dict(partition or {})
 
         def read(table: str) -> DataFrame:
+            if table not in slices:
+                raise ValueError(f"partition says nothing about {table!r}; give None to read it in one task")
             return self.spark.read.format("jdbc").options(
-                **self.jdbc_options(table, url, user, password, driver, schema, partition, fetchsize)
+                **self.jdbc_options(table, url, user, password, driver, schema, slices[table], fetchsize)
             ).load()
 
         return self._add(connection, read)
@@ -62,6 +66,8 @@ class Sources:
         needed = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"}
         if partition and set(partition) != needed:
             raise ValueError(f"partition must hold exactly {sorted(needed)}")
+        if partition and table in TABLES and partition["partitionColumn"] not in TABLES[table]:
+            raise ValueError(f"table {table!r} has no column {partition['partitionColumn']!r}")
         options = {
             "url": url,
             "dbtable": f"{schema}.{table}" if schema else table,

@@ -27,8 +27,13 @@ from .views import AS_ON, SERIES_START, TODAY, fy_label, sources, view
 WINDOWS = (1, 2, 3, 4)
 
 
-def _plan(cls, spark, d, *tables, as_on: dt.date = AS_ON, **options):
-    return cls(sources(spark, d, *tables), view(spark, d, "companies"), as_on, TODAY, **options)
+def _plan(cls, spark, d, *tables, as_on: dt.date = AS_ON, companies: str = "companies", **options):
+    return cls(sources(spark, d, *tables), view(spark, d, companies), as_on, TODAY, **options)
+
+
+def _segment(sql: str) -> str:
+    """Rows of the companies of a market segment, which is a universe of its own."""
+    return f"select * from ({sql}) where company_master_id in (select company_master_id from segment_companies)"
 
 
 # --- audit ----------------------------------------------------------------------------------
@@ -126,12 +131,23 @@ def caro_scores(spark, d):
 
 @query(AUDIT_SQL)
 def audit_scorecard(spark, d):
-    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES).get_auditor_features()
+    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES).get_auditor_features(one_row=False)
 
 
 @query(AUDIT_ONE_ROW_SQL)
 def audit_scorecard_one_row(spark, d):
-    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES).get_auditor_features(one_row=True)
+    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES).get_auditor_features()
+
+
+@query(AUDIT_ONE_ROW_SQL)
+def audit_scorecard_sliced(spark, d):
+    """As above, with nearly every company's auditor rows cut into slices."""
+    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES, hot_rows=3).get_auditor_features()
+
+
+@query(_segment(AUDIT_ONE_ROW_SQL))
+def audit_scorecard_of_universe(spark, d):
+    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES, companies="segment_companies").get_auditor_features()
 
 
 # --- directors ------------------------------------------------------------------------------
@@ -344,6 +360,11 @@ def ef_history(spark, d):
     return _round_growth(_plan(EfFinancialFeatures, spark, d, *EF_TABLES).get_ef_financials())
 
 
+@query(_segment(EF_SQL))
+def ef_history_of_universe(spark, d):
+    return _round_growth(_plan(EfFinancialFeatures, spark, d, *EF_TABLES, companies="segment_companies").get_ef_financials())
+
+
 @query(_ef_history_sql([*EF_FEATURES, *OTHER_FEATURES, *[h for h in _ALL_HISTORY if h not in EF_FEATURES]]))
 def ef_all_features(spark, d):
     return _round_growth(_plan(EfFinancialFeatures, spark, d, *EF_TABLES).get_ef_financials(all_features=True))
@@ -413,6 +434,11 @@ def fs_ratios(spark, d):
     return _plan(FsFinancialFeatures, spark, d, *FS_TABLES).get_fs_financials()
 
 
+@query(_segment(FS_SQL))
+def fs_ratios_of_universe(spark, d):
+    return _plan(FsFinancialFeatures, spark, d, *FS_TABLES, companies="segment_companies").get_fs_financials()
+
+
 @query(_fs_sql("balance_sheet"))
 def fs_ratios_by_balance_sheet_form(spark, d):
     return _plan(FsFinancialFeatures, spark, d, *FS_TABLES, form_id_source="balance_sheet").get_fs_financials()
@@ -511,6 +537,11 @@ def bifr_cases_past(spark, d):
     return _plan(LitigationFeatures, spark, d, "yml_bifr_litigation_data").bifr_cases()
 
 
+@query(_segment(_open_sql(_records("bifr", True), "number_of_bifr_cases", True)))
+def bifr_cases_of_universe(spark, d):
+    return _plan(LitigationFeatures, spark, d, "yml_bifr_litigation_data", companies="segment_companies").bifr_cases()
+
+
 @query(_open_sql(_records("bifr", False), "number_of_bifr_cases", False))
 def bifr_cases_current(spark, d):
     return _plan(LitigationFeatures, spark, d, "yml_bifr_litigation_data", as_on=TODAY).bifr_cases()

@@ -313,13 +313,13 @@ def _rolling(agg: str) -> str:
   select company_master_id, financial_year, o_orderkey as id, cast(qty as double) as amount from order_sums)"""
 
 
-def _rolled(spark, d, agg):
+def _rolled(spark, d, agg, **options):
     rows = run_sql(
         spark, d, f"select {COMPANY}, {FY}, o_orderkey as id, cast(qty as double) as amount from order_sums"
     )
     # a company has any number of orders: a slice is a year and a range of order numbers
     slices = [F.col(FY), F.floor(F.col("id") / 100_000)]
-    return rolling_rows(rows, [COMPANY], [FY, "id"], {"amount": "amount"}, agg, slice_by=slices).drop("amount")
+    return rolling_rows(rows, [COMPANY], [FY, "id"], {"amount": "amount"}, agg, slice_by=slices, **options).drop("amount")
 
 
 @query(_rolling("sum"))
@@ -332,6 +332,12 @@ def rolling_mean(spark, d):
     return _rolled(spark, d, "mean")
 
 
+@query(_rolling("avg"))
+def rolling_mean_sliced(spark, d):
+    """As above, with nearly every company cut into slices."""
+    return _rolled(spark, d, "mean", hot_rows=3)
+
+
 FIN_SQL = f"""select company_master_id, cast(left(financial_year, 4) as bigint) as fy_start,
   cast(sum(price) as double) as revenue, cast(sum(tax) as double) as tax_paid from order_sums group by 1, 2"""
 
@@ -467,12 +473,12 @@ def spine_completion(spark, d):
 
 
 @query("""select company_master_id, sat_cases, bifr_rows from
-  (select company_master_id, count(*) as sat_cases from yml_sat_litigation_data where link like '1%' group by 1)
-  full join (select company_master_id, count(*) as bifr_rows from yml_bifr_litigation_data where case_year = 1899 group by 1)
+  (select company_master_id, count(*) as sat_cases from yml_sat_litigation_data group by 1)
+  full join (select company_master_id, count(*) as bifr_rows from yml_bifr_litigation_data group by 1)
   using (company_master_id)""")
 def full_outer_blocks(spark, d):
-    sat = view(spark, d, "yml_sat_litigation_data").where(F.col("link").startswith("1"))
-    bifr = view(spark, d, "yml_bifr_litigation_data").where("case_year = 1899")
+    sat = view(spark, d, "yml_sat_litigation_data")
+    bifr = view(spark, d, "yml_bifr_litigation_data")
     blocks = [
         sat.groupBy(COMPANY).agg(F.count("*").alias("sat_cases")),
         bifr.groupBy(COMPANY).agg(F.count("*").alias("bifr_rows")),
@@ -487,14 +493,19 @@ def master_join(spark, d):
     return view(spark, d, "director_history_details").join(master, "director_master_id").select(COMPANY, "din", "date_cessation")
 
 
+_SHIPMENTS = f"""select o_custkey as company_master_id, {fy_label('l_shipdate')} as financial_year,
+  'consolidated' as stmt, l_orderkey as id from lineitem join orders on l_orderkey = o_orderkey"""
+_SHIPPED = f"select company_master_id, financial_year, stmt, min(id) as id from ({_SHIPMENTS}) group by 1, 2, 3"
+
+
 @query(f"""select b.company_master_id, b.financial_year, b.stmt, b.id, p.id as other_id, r.id as optional_id
 from ({_first("id desc")}) b join ({_first("id")}) p using (company_master_id, financial_year, stmt)
-left join ({_first("id", "tax > 20")}) r using (company_master_id, financial_year, stmt)""")
+left join ({_SHIPPED}) r using (company_master_id, financial_year, stmt)""")
 def statement_join(spark, d):
     rows, key = _stmt(spark, d), [COMPANY, FY, "stmt"]
     b = latest_per_key(rows, key, "id").select(*key, "id")
     p = any_per_key(rows, key, ties=["id"]).select(*key, F.col("id").alias("other_id"))
-    r = any_per_key(rows.where("tax > 20"), key, ties=["id"]).select(*key, F.col("id").alias("optional_id"))
+    r = any_per_key(run_sql(spark, d, _SHIPMENTS), key, ties=["id"]).select(*key, F.col("id").alias("optional_id"))
     return b.join(p, key).join(r, key, "left")
 
 

@@ -17,7 +17,7 @@ from ..sources.schemas import TABLES
 
 AS_ON = dt.date(2000, 8, 20)
 TODAY = dt.date(2001, 12, 31)
-SERIES_START = dt.date(2001, 4, 1)
+SERIES_START = dt.date(1995, 1, 1)  # of the first filing
 
 BASE_TABLES = ("customer", "orders", "lineitem", "part")
 
@@ -153,6 +153,7 @@ VIEWS: dict[str, str] = {
     "order_sums": _ORDER_SUMS,
     "tenure": _TENURE,
     "companies": "select c_custkey as company_master_id from customer",
+    "segment_companies": "select c_custkey as company_master_id from customer where c_mktsegment = 'BUILDING'",
     "form_aoc4_dtls": f"""
 select o_custkey as company_master_id, {fy_label('o_orderdate')} || ' ' as financial_year,
   {_STMT} as is_consolidated_standalone_stmt, case when o_orderpriority = '5-LOW' then 0 else 1 end as valid_data,

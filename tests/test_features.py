@@ -93,7 +93,7 @@ def test_auditor_facts(spark):
 
 
 def test_audit_scores(spark):
-    got = _audit(spark).get_auditor_features()
+    got = _audit(spark).get_auditor_features(one_row=False)
     assert len(got.columns) == 37
     assert value(got, 1, "fixed_assets_score_1yrs", "fixed_assets_score_2yrs", "fixed_assets_score_4yrs", "fraud_score_1yrs") == (1.0, 0.5, 0.5, 0.0)
     # rows: 2016 and 2017 completed with 0.5, 2018 AAA 0, then AAA 1 and BBB 1
@@ -106,7 +106,7 @@ def test_audit_scores(spark):
 
 
 def test_audit_one_row(spark):
-    got = _audit(spark).get_auditor_features(one_row=True)
+    got = _audit(spark).get_auditor_features()
     assert got.count() == 2
     assert value(got, 1, "adv_qual_score_4yrs", "auditor_resigned_score_1yrs") == (0.625, 1.0)
 

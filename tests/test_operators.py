@@ -197,8 +197,12 @@ def test_universe(spark):
     assert rows_of(small.flag(df, "f")) == [(1, 1), (2, 0)]
     assert rows_of(Universe.of(spark, range(1, 2000)).restrict(df)) == [(1, 10), (9, 90)]
     framed = Universe.of(spark, spark.createDataFrame([("1",), ("1",), (None,)], "id string"))
-    assert rows_of(framed.ids) == [(1,)] and framed.restrict(df) is df
-    assert rows_of(Universe(framed.ids, reduce_scans=True).restrict(df)) == [(1, 10)]
+    assert rows_of(framed.ids) == [(1,)] and rows_of(framed.restrict(df)) == [(1, 10)]
+    ranked = spark.createDataFrame([(99, 9)], "rank int, company_master_id int")
+    assert rows_of(Universe.of(spark, ranked).restrict(df)) == [(9, 90)]
+    assert Universe.of(spark, []).restrict(df).count() == 0
+    with pytest.raises(ValueError):
+        Universe.of(spark, ranked.withColumnRenamed("company_master_id", "company"))
 
 
 def test_membership_is_a_semi_anti_split(spark):

@@ -89,3 +89,16 @@ def test_jdbc_options():
     assert options == {"url": "jdbc:mysql://host/db", "dbtable": "s.t", "fetchsize": 10_000, "user": "u", **slices}
     with pytest.raises(ValueError):
         Sources.jdbc_options("t", "url", partition={"partitionColumn": "id"})
+
+
+def test_jdbc_needs_a_word_on_every_table(spark):
+    def slices(column):
+        return {"partitionColumn": column, "lowerBound": 0, "upperBound": 100, "numPartitions": 8}
+
+    with pytest.raises(ValueError, match="says nothing"):
+        Sources(spark).add_jdbc("live_crawler_output", "jdbc:mysql://host/db").raw("director_master")
+    for table, columns in TABLES.items():
+        column = "company_master_id" if "company_master_id" in columns else next(iter(columns))
+        assert Sources.jdbc_options(table, "url", partition=slices(column))["partitionColumn"] == column
+    with pytest.raises(ValueError, match="no column"):
+        Sources.jdbc_options("director_master", "url", partition=slices("company_master_id"))
