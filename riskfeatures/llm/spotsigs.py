@@ -24,8 +24,8 @@ ANCHORS = (
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY = "|".join(ANCHORS)
 START = "^"  # the start of a text is an anchor too, so every text with a word has a signature
-# Of a run of anchors, which all lead to the same content words, the last one counts.
-RUN = rf"(?<= )(?:(?:{ANY}|\^) )*({ANY}|\^) "
+# No repeated group here, whose depth in the pattern engine would grow with the text.
+ANCHOR = rf"(?<= )({ANY}|\^) "
 
 
 def fingerprint(text: Column) -> Column:
@@ -34,13 +34,14 @@ def fingerprint(text: Column) -> Column:
     Equal texts have equal fingerprints; an empty or null text has an empty one.
     """
     words = F.trim(F.regexp_replace(lower_ascii(text), GAPS, " "))
-    marked = F.regexp_replace(F.concat(F.lit(f" {START} "), words, F.lit(" ")), RUN, "$1,")
+    marked = F.regexp_replace(F.concat(F.lit(f" {START} "), words, F.lit(" ")), ANCHOR, "$1,")
     content = F.split(F.trim(marked), " ")
     after = F.concat(F.slice(content, 2, F.size(content)), F.array(F.lit("")))
     chains = F.zip_with(
         content,
         after,
-        lambda w, n: F.when(F.contains(w, F.lit(",")), F.concat(w, F.lit(" "), F.substring_index(n, ",", -1))),
+        # of a run of anchors, which all lead to the same content words, the last one counts
+        lambda w, n: F.when(F.contains(w, F.lit(",")), F.concat(F.substring_index(w, ",", -2), F.lit(" "), F.substring_index(n, ",", -1))),
     )
     found = F.array_distinct(F.transform(F.filter(chains, lambda c: c.isNotNull()), lambda c: F.substring(F.md5(c), 1, 8)))
     return F.when(words == "", "").otherwise(F.array_join(F.sort_array(found), ","))

@@ -30,7 +30,7 @@ def like(a, b):
 
 
 def test_rows(spark):
-    texts = ["The cat of the house is black", "", None, "the of", "word", "Und der Hund \U0001f600 bellt. " * 400, "x " * 20_000, "Is it? a b c the d", "same text is here", "same text is here"]
+    texts = ["The cat of the house is black", "", None, "the of", "word", "Und der Hund \U0001f600 bellt. " * 400, "x " * 20_000, "Is it? a b c the d", "the " * 60_000 + "end of it", "same text is here", "same text is here"]
     rows = [(i * 3, t, "") for i, t in enumerate(texts)] + [(12, texts[4], "")]
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted(map(tuple, spotsigs.fingerprints(spark, df).collect()), key=lambda r: -r[0])
