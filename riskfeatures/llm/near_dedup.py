@@ -120,8 +120,9 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """`id` and `comp`, the smallest id that it is linked with, for the ids of the edges.
 
     Labels of neighbours are taken over and followed to their own labels until none changes,
-    so a chain takes a logarithmic number of rounds; each round is written to the shared
-    folder. `labels` are components found before, which the edges join.
+    so a chain takes a logarithmic number of rounds; every second one is written to the
+    shared folder. `labels` are components found before, which the edges join; both are
+    given as stored frames.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     ids = both.select(F.col("a").alias("id")).distinct()
@@ -132,14 +133,18 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             labels.where("id <> comp").selectExpr("comp as a", "id as b")
         )
         now = ids.join(labels, "id", "full_outer").select("id", F.coalesce("comp", "id").alias("comp"))
-    now, both = stored(now, "labels"), stored(both.distinct(), "edges")
-    while True:
+
+    def told(now: DataFrame) -> DataFrame:
         # each id asks its neighbours, and the id that it is labelled with, for their labels
         asks = both.unionByName(now.where("id <> comp").selectExpr("comp as a", "id as b"))
-        heard = asks.join(now, asks.a == now.id).select(F.col("b").alias("id"), "comp", F.lit(None).cast("bigint").alias("was"))
+        heard = asks.join(now.select("id", "comp"), asks.a == F.col("id")).select(F.col("b").alias("id"), "comp", F.lit(None).cast("bigint").alias("was"))
         best = heard.unionByName(now.select("id", "comp", F.col("comp").alias("was"))).groupBy("id")
-        then = stored(best.agg(F.min("comp").alias("comp"), F.max("was").alias("was")), "labels")
+        return best.agg(F.min("comp").alias("comp"), F.max("was").alias("was"))
+
+    while True:
+        then = stored(told(told(now).select("id", "comp")), "labels")
         now = then.select("id", "comp")
+        # what the second of two rounds leaves as it was, another one would leave too
         if not then.where("was <> comp").limit(1).count():
             return now
 
@@ -172,7 +177,6 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, key: str = "do
         rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         pivots = rows.withColumn("rank", rank).where(F.col("rank") <= pivots_at_once)
         pivots = pivots.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-        pivots = stored(pivots, "pivots")
         met = rows.join(pivots, "key").where((F.col("id") > F.col("a")) & (F.col("comp") != F.col("comp_a")))
         may = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
         pairs = met.where(may).select("a", F.col("id").alias("b")).distinct()
@@ -186,7 +190,6 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, key: str = "do
             rest = rest.join(labels, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
         else:
             rest = rest.withColumn("comp", F.col("id"))
-        rest = stored(rest, "buckets")
         apart = rest.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key")
         rows = stored(rest.join(apart, "key"), "buckets")
         pivots_at_once *= 32
@@ -226,7 +229,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, source: DataFrame, k: int, perc
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(maybe("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b")
     near = stored(near, "pairs")
     ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
-    texts = stored(source.join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text")), "texts")
+    texts = source.join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
     of = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
     return near.join(of("a"), "a").join(of("b"), "b").where(alike("text_a", "text_b")).select("a", "b")
 
