@@ -184,7 +184,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     # a document's own repeats don't make an anchor shared
     shared = grams.groupBy("gram").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("gram")
     hits = grams.join(shared, "gram").distinct().groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("hits"))
-    pieces = stored(docs.distinct().join(hits, "doc").mapInPandas(_pieces, "gram long, doc long, at int, lead int, piece binary"), "pieces")
+    # rows that are repeated make the same pieces again, which count once from here on
+    pieces = stored(docs.join(hits, "doc").mapInPandas(_pieces, "gram long, doc long, at int, lead int, piece binary"), "pieces")
     keyed = pieces.withColumn("key", F.xxhash64("gram", "lead", "piece"))
     different = keyed.groupBy("gram", "key", "lead", "piece").agg(F.min("doc").alias("holder"))
     shards = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
