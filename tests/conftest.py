@@ -20,9 +20,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
     session.stop()
-
-
-def rows_of(df, *columns):
-    """Rows as sorted tuples, nulls last."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is None, str(v)) for v in r])

@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from riskfeatures import (
     AuditorFeatures, DirectorsFeatures, EfFinancialFeatures, FsFinancialFeatures, LitigationFeatures, Sources, scorecard,

@@ -3,7 +3,7 @@ import itertools
 import random
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from riskfeatures.functions.dates import date_lit

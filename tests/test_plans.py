@@ -4,7 +4,7 @@ import datetime as dt
 import re
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from riskfeatures import AuditorFeatures, DirectorsFeatures, LitigationFeatures, Sources, Universe

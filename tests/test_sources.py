@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from riskfeatures.sources import CONNECTION_OF, TABLES, Sources
 

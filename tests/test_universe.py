@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows_of
+from helpers import rows_of
 from riskfeatures.plans.audit import AuditorFeatures
 from riskfeatures.plans.directors import DirectorsFeatures
 from riskfeatures.plans.enterprise import EfFinancialFeatures
