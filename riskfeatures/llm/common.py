@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,14 +25,24 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+_OWN: dict[str, str] = {}  # folders of local applications
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the cluster's, or one of our own where none is set."""
+    """The folder that all executors share: the one the cluster names. Where none is named, a
+    local session gets a folder of its own; on a cluster that would lose rows, so it is refused."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="checkpoints-")
+    return _OWN[context.applicationId]
 
 
 def stored(df: DataFrame, name: str = "part") -> DataFrame:

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, license_scan, mixing, near_dedup, pieces, pii, quality, spotsigs, suffix_dedup
+from . import (
+    alignment, ann, chat, language_model, license_scan, mixing, near_dedup, pieces, pii, quality, spelling, spotsigs, suffix_dedup,
+)
 from .common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def piece_model() -> str:
@@ -70,6 +73,25 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(spark, read(spark, sf_dir, "documents"))
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under word frequencies and under the trained model."""
+    return language_model.score_texts(spark, read(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent long word with its near words, form and root."""
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and pair counts of two tokenizers over every text."""
+    import public_tokenizers
+
+    return alignment.align(
+        spark, read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN, piece_model()
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
@@ -81,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_quality": op9_quality,
     "op10_spotsigs": op10_spotsigs,
+    "op11_language_model": op11_language_model,
+    "op12_spelling": op12_spelling,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = {
