@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import small_batches, stored
+from .common import most_frequent, small_batches, stored
 
 PIECE = 1 << 15  # merge steps of a piece
 # Pairs whose counts go to every task (nine bytes each), the most frequent ones.
@@ -247,7 +247,7 @@ def align(
         "aligned",
     )
     counts = stored(pair_counts(rows), "pairs")
-    head = counts.orderBy(F.desc("n"), "pair").limit(head_pairs).toArrow()
+    head = most_frequent(counts, "n", head_pairs).toArrow()
     order = np.argsort(head["pair"].to_numpy())
     known = spark.sparkContext.broadcast(
         (head["pair"].to_numpy()[order], head["n"].to_numpy()[order], head["best"].to_numpy(zero_copy_only=False)[order])
