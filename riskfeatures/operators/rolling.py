@@ -1,10 +1,9 @@
 """Row-based windows: rolling aggregates, previous values, next dates, running totals.
 
 A plain window puts a whole key into one task. That is right where a key has few rows by
-construction (one per financial year, one per calendar day). Where a key is unbounded,
-pass `slice_by`: leading order columns that cut a key into slices which lie one after the
-other. Keys with many rows are found by counting and run slice by slice; only the few rows
-at slice edges, whose frame reaches back into an earlier slice, are looked at per key.
+construction, such as one per financial year or per day. Where a key is unbounded, windows
+run slice by slice (see `slices`), on one path for every key whatever its size; what a frame
+needs from beyond its slice is carried.
 """
 
 from __future__ import annotations
@@ -14,11 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import columns, growth_rate, ieee_div, nan_to_null
+from .slices import GOES_ON, NEXT, OPENED, SLICE, SLICE_ROWS, sliced
 
-_POS, _AHEAD, _HOT = "__pos", "__ahead", "__hot"
-
-# A key with more rows than this is cut into slices.
-HOT_ROWS = 1_000_000
+_POS, _AHEAD, _TARGET, _EDGE = "__pos", "__ahead", "__target", "__edge"
 
 _AGGREGATES = {"sum": F.sum, "mean": F.avg}
 
@@ -43,51 +40,49 @@ def rolling_rows(
     features: Mapping[str, str],
     agg: str = "mean",
     windows: Sequence[int] = (1, 2, 3, 4),
-    slice_by: Sequence[Column] | None = None,
-    counted: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add `{prefix}_{n}yrs`: sum or mean of the last n rows of the key, null if fewer.
 
     `features` maps an output prefix to its value column; `order` must make rows of a key
-    distinct. `slice_by` are expressions that never decrease along `order`; keys with more
-    than `hot_rows` rows are then cut by them. `counted` is a cheaper frame to count keys
-    in, which may count too many rows but not too few.
+    distinct. A key may have any number of rows: the last rows of a slice go to the next ones,
+    where the first rows are worked out together with them.
     """
     if agg not in _AGGREGATES:
         raise ValueError(f"aggregate must be one of {sorted(_AGGREGATES)}, not {agg!r}")
     ordering = [F.asc_nulls_last(c) for c in order]
-    by_key = Window.partitionBy(*keys).orderBy(*ordering)
-    if slice_by is None:
-        return df.withColumns(_rolling_columns(features, windows, agg, by_key))
-
-    many = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = many.where(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
-    marked = df.join(hot, list(keys), "left").select(*df.columns, _HOT)
-    slices = [f"__slice{i}" for i in range(len(slice_by))]
-    cut = marked.withColumns({s: F.when(F.col(_HOT), e) for s, e in zip(slices, slice_by)})
-
     depth = max(windows) - 1
-    in_slice = Window.partitionBy(*keys, *slices).orderBy(*ordering)
-    names = [f"{p}_{n}yrs" for p in features for n in windows]
-    local = cut.withColumns(
+    # both branches below need the same columns, so they share one exchange
+    cut = sliced(df, keys, order, slice_rows).select(*df.columns, SLICE, _edge().alias(_EDGE))
+    opened, goes_on = F.col(_EDGE).isin(1, 3), F.col(_EDGE) >= 2
+    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*ordering)
+    rolled = _rolling_columns(features, windows, agg, in_slice)
+    local = cut.withColumns({**rolled, _POS: F.row_number().over(in_slice)})
+    reaches_back = opened & (F.col(_POS) <= depth)
+    alone = local.where(~reaches_back & F.col(_EDGE).isNotNull()).select(*df.columns, *rolled)
+    if not depth:
+        return alone
+
+    # Rows near a cut, which are few: a slice's first ones, and its last ones sent ahead. Each
+    # slice has a row at least, so as many slices ahead as rows in a frame are enough.
+    near = cut.withColumns(
         {
-            **_rolling_columns(features, windows, agg, in_slice),
             _POS: F.row_number().over(in_slice),
-            # how many of the next rows lie in the same slice, counted up to `depth`
-            _AHEAD: F.count(F.lit(1)).over(in_slice.rowsBetween(1, max(depth, 1))),
+            _AHEAD: F.count(F.lit(1)).over(in_slice.rowsBetween(1, depth)),
         }
     )
-    starts_slice = F.coalesce(F.col(_HOT), F.lit(False)) & (F.col(_POS) <= depth)
-    ends_slice = F.coalesce(F.col(_HOT), F.lit(False)) & (F.col(_AHEAD) < depth)
-    # The first and last `depth` rows of every slice hold all that a first row can reach.
-    repaired = (
-        local.where(starts_slice | ends_slice)
-        .drop(*names)
-        .withColumns(_rolling_columns(features, windows, agg, by_key))
-        .where(starts_slice)
-    )
-    return local.where(~starts_slice).unionByName(repaired).drop(*slices, _POS, _AHEAD, _HOT)
+    none = F.array().cast("array<int>")
+    stay = F.when(reaches_back, F.array(SLICE)).otherwise(none)
+    ahead = F.when(goes_on & (F.col(_AHEAD) < depth), F.sequence(F.col(SLICE) + 1, F.col(SLICE) + depth)).otherwise(none)
+    sent = near.withColumn(_TARGET, F.explode(F.concat(stay, ahead)))
+    in_target = Window.partitionBy(*keys, _TARGET).orderBy(*ordering)
+    repaired = sent.withColumns(_rolling_columns(features, windows, agg, in_target))
+    return alone.unionByName(repaired.where(F.col(_TARGET) == F.col(SLICE)).select(*df.columns, *rolled))
+
+
+def _edge() -> Column:
+    """1: the key has an earlier slice, 2: a later one, 3: both, 0: none."""
+    return F.col(OPENED).cast("int") + 2 * F.col(GOES_ON).cast("int")
 
 
 def history_names(features: Sequence[str], growth: Sequence[str] = (), n: int = 4) -> list[str]:
@@ -132,28 +127,73 @@ def history_features(
 
 
 def next_event_date(
-    df: DataFrame, keys: Sequence[str], date: str, out: str, default: Column, ties: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    out: str,
+    default: Column,
+    ties: Sequence[str] = (),
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Add the date of the key's next event, or `default` for its last one.
 
-    Repeated rows should be removed before: then a key has at most one row per calendar
-    day and tie value. Rows with a null key belong to no sequence and get the default;
-    rows without a date come back without one.
+    Events of one date follow each other in the order of the tie columns. Without `slice_rows`
+    a key must have few rows by construction, such as one a day. With it a key may have any
+    number: the first row of the next slice is known to the last one of a slice. Rows with a
+    null key belong to no sequence and get the default; rows without a date come back without
+    one.
     """
-    w = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(date), *[F.asc_nulls_last(t) for t in ties])
+    order = [date, *ties]
+    ordering = [F.asc_nulls_last(c) for c in order]
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    return df.withColumn(out, F.coalesce(F.when(keyed, F.lead(date).over(w)), default))
+    if slice_rows is None:
+        following = F.lead(date).over(Window.partitionBy(*keys).orderBy(*ordering))
+        return df.withColumn(out, F.coalesce(F.when(keyed, following), default))
+    w = Window.partitionBy(*keys, SLICE).orderBy(*ordering)
+    # the last row of a slice has no row after it there; what follows may lack a date as well
+    last = F.lead(F.lit(1)).over(w).isNull()
+    following = F.when(last, F.col(NEXT)["o0"]).otherwise(F.lead(date).over(w))
+    return (
+        sliced(df, keys, order, slice_rows)
+        .withColumn(out, F.coalesce(F.when(keyed, following), default))
+        .select(*df.columns, out)
+    )
 
 
 def running_totals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Mapping[str, str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    totals: Mapping[str, str],
+    slice_rows: int | None = None,
 ) -> DataFrame:
-    """Add running sums from the first row of the key up to the current one."""
-    w = (
-        Window.partitionBy(*keys)
-        .orderBy(*[F.asc_nulls_last(c) for c in order])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Add running sums from the first row of the key up to the current one.
+
+    `order` must make rows of a key distinct. Without `slice_rows` a key must have few rows by
+    construction, such as one a day. With it a key may have any number: running sums are taken
+    slice by slice and raised by the sum of the key's earlier slices.
+    """
+    if slice_rows is None:
+        whole = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
+        upto = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({out: F.sum(value).over(upto) for out, value in totals.items()})
+    cut = sliced(df, keys, order, slice_rows).select(*df.columns, SLICE, _edge().alias(_EDGE))
+    w = Window.partitionBy(*keys, SLICE).orderBy(*[F.asc_nulls_last(c) for c in order])
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cut.withColumns({out: F.sum(value).over(upto) for out, value in totals.items()})
+
+    # the total at the end of each slice of a key that has several: a key has as many as slices
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    ends = local.withColumn(_AHEAD, F.lead(F.lit(1)).over(w)).where(F.col(_AHEAD).isNull() & (F.col(_EDGE) > 0))
+    earlier = ends.select(
+        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
+        F.col(SLICE).alias("__of_slice"),
+        *[F.sum(out).over(before).alias(f"__before_{out}") for out in totals],
     )
-    return df.withColumns({out: F.sum(value).over(w) for out, value in totals.items()})
+    same = F.col(SLICE) == F.col("__of_slice")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
+    raised = {out: F.coalesce(F.col(out) + F.col(f"__before_{out}"), out, f"__before_{out}") for out in totals}
+    return local.join(earlier, same, "left").withColumns(raised).select(*df.columns, *totals)

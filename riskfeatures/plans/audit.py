@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.dates import AsOn, date_lit, financial_year, parse_iso, year_of_label
+from ..functions.dates import AsOn, date_lit, financial_year, parse_iso
 from ..functions.text import is_one_of_years, strip, strip_lower, strip_upper
 from ..operators.answers import NEUTRAL_SCORE, answer_scores_by_year
 from ..operators.latest import any_per_key, first_per_key, latest_per_key
 from ..operators.lists import explode_ids
-from ..operators.members import COMPANY, Universe, company_years, complete_with
-from ..operators.rolling import HOT_ROWS, rolling_rows
+from ..operators.members import COMPANY, Universe, company_years
+from ..operators.rolling import rolling_rows
+from ..operators.slices import SLICE_ROWS
 from ..sources.registry import Sources
 
 FY, STMT = "financial_year", "is_consolidated_standalone_stmt"
@@ -34,12 +35,14 @@ FLAG_SCORES = {
 }
 WINDOWS = (1, 2, 3, 4)
 
+_NEUTRAL, _NTH = "__neutral", "__nth"
+
 
 class AuditorFeatures:
-    def __init__(self, sources: Sources, companies, as_on_date: dt.date, today: dt.date | None = None, strict: bool = False, hot_rows: int = HOT_ROWS):
-        """`strict` keeps the blanks around ids in auditor lists. A company with more than
-        `hot_rows` auditor rows is spread over several tasks."""
-        self.hot_rows = hot_rows
+    def __init__(self, sources: Sources, companies, as_on_date: dt.date, today: dt.date | None = None, strict: bool = False, slice_rows: int = SLICE_ROWS):
+        """`strict` keeps the blanks around ids in auditor lists. Windows over the auditor
+        rows of a company run in slices of about `slice_rows` rows."""
+        self.slice_rows = slice_rows
         self.sources = sources
         self.universe = Universe.of(sources.spark, companies)
         self.as_on = AsOn(as_on_date, today or dt.date.today())
@@ -80,13 +83,6 @@ class AuditorFeatures:
         xbrl = self._xbrl_auditors().distinct()
         return form.select(*cols, F.lit(0).alias("source")).unionByName(xbrl.select(*cols, F.lit(1).alias("source")))
 
-    def audited_years(self) -> DataFrame:
-        """Company and year of every auditor id of a known statement: the keys of the facts,
-        straight from the scans."""
-        cols = [*STATEMENT, "pan_no"]
-        rows = self._form_auditors().select(*cols).unionByName(self._xbrl_auditors().select(*cols))
-        return explode_ids(rows.dropna(subset=STATEMENT), "pan_no", "auditor_pan", self.strict).select(COMPANY, FY)
-
     def resignations(self) -> DataFrame:
         """One row per company, auditor and financial year of the resignation date."""
         first, last = self.as_on.first_day, self.as_on.last_day
@@ -125,27 +121,54 @@ class AuditorFeatures:
             )
         )
 
-    def auditor_history(self) -> DataFrame:
-        """Facts of the as-on year with means over the last 1-4 rows of the company."""
+    def _scored_rows(self) -> DataFrame:
+        """The flags of all facts, and a neutral row of every company and valid year.
+
+        A neutral row stands for a year without facts. It is the only row of its year without
+        statement and auditor; where a year has facts, the row is void and dropped later on,
+        by its neighbour. So no second pass over the tables has to tell which years those are.
+        """
         flags = list(FLAG_SCORES.values())
-        facts = self.auditor_facts().select(COMPANY, FY, STMT, "auditor_pan", *flags)
+        facts = self.auditor_facts().select(
+            COMPANY, FY, STMT, "auditor_pan", *[F.col(c).cast("double").alias(c) for c in flags], F.lit(False).alias(_NEUTRAL)
+        )
         spine = company_years(self.universe.ids, self.as_on.valid_years)
-        audited = self.audited_years()
-        full = complete_with(facts, spine, [COMPANY, FY], present=audited)
-        full = full.withColumn("financial_year_start", year_of_label(FY))
-        neutral = {c: F.coalesce(F.col(c).cast("double"), F.lit(NEUTRAL_SCORE)) for c in flags}
+        neutral = spine.withColumns({**{c: F.lit(NEUTRAL_SCORE) for c in flags}, _NEUTRAL: F.lit(True)})
+        return facts.unionByName(neutral, allowMissingColumns=True)
+
+    def _latest(self, rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+        """At most the `most` last rows of each key that are not void, numbered from the last.
+
+        The limit is pruned before the exchange, so a key of any size sends a few rows a task.
+        """
+        down = Window.partitionBy(*keys).orderBy(F.desc(FY), F.asc(_NEUTRAL), F.desc_nulls_last(STMT), F.desc_nulls_last("auditor_pan"))
+        # besides the rows sought there are as many void ones as there are years
+        top = rows.withColumn(_NTH, F.row_number().over(down)).where(F.col(_NTH) <= most + len(self.as_on.valid_years))
+        void = F.col(_NEUTRAL) & F.coalesce(F.lag(FY).over(down) == F.col(FY), F.lit(False))
+        known = top.withColumn("__void", void).where("not __void").drop("__void")
+        return known.withColumn(_NTH, F.row_number().over(down)).where(F.col(_NTH) <= most)
+
+    def auditor_history(self) -> DataFrame:
+        """Facts of the as-on year with means over the last 1-4 rows of the company.
+
+        Of the years before, a company's last three rows are all that a mean can reach. They
+        are found in the same pass as the rows of the as-on year, which stand for themselves.
+        """
+        depth = max(WINDOWS) - 1
+        current = F.col(FY) == self.as_on.financial_year
+        rows = self._scored_rows().withColumn("__own", F.when(current, F.struct(STMT, "auditor_pan")))
+        reached = self._latest(rows, [COMPANY, "__own"], depth).drop("__own", _NTH)
         rolled = rolling_rows(
-            full.withColumns(neutral),
+            reached.withColumn("__current", current.cast("double")),
             [COMPANY],
-            ["financial_year_start", STMT, "auditor_pan"],
-            FLAG_SCORES,
+            [FY, STMT, "auditor_pan"],
+            {**FLAG_SCORES, "__current": "__current"},
             windows=WINDOWS,
-            # a company may have any number of auditors: a hot one is cut by year, statement, id
-            slice_by=[F.col("financial_year_start"), F.col(STMT), F.substring("auditor_pan", 1, 3)],
-            counted=audited,
-            hot_rows=self.hot_rows,
+            slice_rows=self.slice_rows,
         )
-        return rolled.where(F.col(FY) == self.as_on.financial_year)
+        # the neutral row comes last in its year, and is void if the row before is of that year
+        void = F.col(_NEUTRAL) & (F.col("__current_2yrs") == 1)
+        return rolled.where(current & ~void).drop(*[f"__current_{n}yrs" for n in WINDOWS], "__current", _NEUTRAL)
 
     def flag_scores(self) -> DataFrame:
         """All distinct score rows of the as-on year, each score combined with the others."""
@@ -158,11 +181,20 @@ class AuditorFeatures:
         return out.select(COMPANY, *[f"{score}.*" for score in FLAG_SCORES])
 
     def last_flag_scores(self) -> DataFrame:
-        """Scores at the last row of the as-on year: one row per company."""
-        names = [f"{s}_{n}yrs" for s in FLAG_SCORES for n in WINDOWS]
-        # a completed row has neither statement nor auditor and is the only one of its year
-        order = [F.desc_nulls_last(STMT), F.desc_nulls_last("auditor_pan")]
-        return first_per_key(self.auditor_history(), [COMPANY], order).select(COMPANY, *names)
+        """Scores at the last row of the as-on year: one row per company, from its last four."""
+        last = self._latest(self._scored_rows(), [COMPANY], max(WINDOWS))
+        flags = list(FLAG_SCORES.values())
+        places = range(1, max(WINDOWS) + 1)
+        wide = last.groupBy(COMPANY).agg(
+            *[F.max(F.when(F.col(_NTH) == i, F.col(c))).alias(f"{c}_{i}") for c in flags for i in places]
+        )
+        means = []
+        for score, flag in FLAG_SCORES.items():
+            total = F.lit(0.0)
+            for n in places:
+                total = total + F.col(f"{flag}_{n}")
+                means.append((total / n).alias(f"{score}_{n}yrs"))
+        return wide.select(COMPANY, *means)
 
     def caro_scores(self) -> DataFrame:
         """Scores of the answers in standalone statements; every company has a row."""

@@ -139,10 +139,10 @@ def audit_scorecard_one_row(spark, d):
     return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES).get_auditor_features()
 
 
-@query(AUDIT_ONE_ROW_SQL)
+@query(AUDIT_SQL)
 def audit_scorecard_sliced(spark, d):
-    """As above, with nearly every company's auditor rows cut into slices."""
-    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES, hot_rows=3).get_auditor_features()
+    """All score rows, with nearly every company's auditor rows cut into slices."""
+    return _plan(AuditorFeatures, spark, d, *AUDIT_TABLES, slice_rows=3).get_auditor_features(one_row=False)
 
 
 @query(_segment(AUDIT_ONE_ROW_SQL))

@@ -317,9 +317,7 @@ def _rolled(spark, d, agg, **options):
     rows = run_sql(
         spark, d, f"select {COMPANY}, {FY}, o_orderkey as id, cast(qty as double) as amount from order_sums"
     )
-    # a company has any number of orders: a slice is a year and a range of order numbers
-    slices = [F.col(FY), F.floor(F.col("id") / 100_000)]
-    return rolling_rows(rows, [COMPANY], [FY, "id"], {"amount": "amount"}, agg, slice_by=slices, **options).drop("amount")
+    return rolling_rows(rows, [COMPANY], [FY, "id"], {"amount": "amount"}, agg, **options).drop("amount")
 
 
 @query(_rolling("sum"))
@@ -335,7 +333,7 @@ def rolling_mean(spark, d):
 @query(_rolling("avg"))
 def rolling_mean_sliced(spark, d):
     """As above, with nearly every company cut into slices."""
-    return _rolled(spark, d, "mean", hot_rows=3)
+    return _rolled(spark, d, "mean", slice_rows=3)
 
 
 FIN_SQL = f"""select company_master_id, cast(left(financial_year, 4) as bigint) as fy_start,
@@ -385,6 +383,35 @@ def next_event_periods(spark, d):
     return next_event_date(rows.distinct(), [COMPANY, "agency"], "rt_from", "rt_to", D.date_lit(TODAY), ties=["rating"])
 
 
+@query(f"""select company_master_id, agency, rating, cast(day as varchar) as rt_from, cast(coalesce(
+  lead(day) over (partition by agency order by day, rating nulls last, company_master_id), {NOW}) as varchar) as rt_to
+from (select distinct company_master_id, trim(credit_rating_agency) as agency, lower(trim(derived_long_term_rating)) as rating,
+  d_date_of_last_rating as day from credit_rating_data where credit_rating_agency is not null)""")
+def next_event_of_agency(spark, d):
+    """The agency's next rating of any company: a few keys hold all rows, cut into slices."""
+    rows = view(spark, d, "credit_rating_data").select(
+        COMPANY,
+        strip("credit_rating_agency").alias("agency"),
+        strip_lower("derived_long_term_rating").alias("rating"),
+        F.col("d_date_of_last_rating").alias("rt_from"),
+    )
+    rows = rows.dropna(subset=["agency"]).distinct()
+    return next_event_date(rows, ["agency"], "rt_from", "rt_to", D.date_lit(TODAY), ["rating", COMPANY], slice_rows=200)
+
+
+@query("""select event_type, hour, cast(sum(events) over w as bigint) as events_so_far, cast(sum(cents) over w as bigint) as cents_so_far
+from (select event_type, cast(floor(epoch(ts) / 3600) as bigint) as hour, count(*) as events, sum(cast(round(value * 100) as bigint)) as cents
+  from events group by 1, 2)
+window w as (partition by event_type order by hour rows between unbounded preceding and current row)""")
+def running_total_hourly(spark, d):
+    """Totals by the hour, which no calendar of days bounds: few keys, cut into slices."""
+    hour = F.floor(F.unix_seconds("ts") / 3600).alias("hour")
+    cents = F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents")
+    per_hour = run_sql(spark, d, "select event_type, cast(ts as timestamp) as ts, value from events").groupBy("event_type", hour).agg(F.count("*").alias("n"), cents)
+    totals = {"events_so_far": "n", "cents_so_far": "cents"}
+    return running_totals(per_hour, ["event_type"], ["hour"], totals, slice_rows=100).drop("n", "cents")
+
+
 @query("""select company_master_id, cast(day as varchar) as day, cast(sum(n) over (partition by company_master_id order by day
   rows between unbounded preceding and current row) as bigint) as so_far
 from (select company_master_id, d_date as day, count(*) as n from yml_sat_litigation_data group by 1, 2)""")

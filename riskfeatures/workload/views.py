@@ -19,7 +19,7 @@ AS_ON = dt.date(2000, 8, 20)
 TODAY = dt.date(2001, 12, 31)
 SERIES_START = dt.date(1995, 1, 1)  # of the first filing
 
-BASE_TABLES = ("customer", "orders", "lineitem", "part")
+BASE_TABLES = ("customer", "orders", "lineitem", "part", "events")
 
 
 def fy_label(day: str) -> str:

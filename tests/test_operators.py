@@ -16,6 +16,7 @@ from riskfeatures.operators.members import (
     Universe, company_years, complete_with, conditional_distinct, membership_flag, side_by_side,
 )
 from riskfeatures.operators.rolling import history_features, next_event_date, rolling_rows, running_totals
+from riskfeatures.operators.slices import sliced
 
 
 def day(n):
@@ -64,21 +65,24 @@ def _brute_rolling(values, n, agg):
     return out
 
 
+def _nulls_last(row):
+    return [(v is None, v or 0) if not isinstance(v, str) else (False, v) for v in row[:3]]
+
+
 @pytest.mark.parametrize("agg", ["sum", "mean"])
-@pytest.mark.parametrize("hot_rows", [None, 0, 4, 1000])
-def test_rolling_rows_against_brute_force(spark, agg, hot_rows):
+@pytest.mark.parametrize("slice_rows", [1, 2, 4, 9, 1_000_000])
+def test_rolling_rows_against_brute_force(spark, agg, slice_rows):
     rng = random.Random(3)
     data = []
-    for k, size in (("hot", 60), ("two", 2), ("five", 5)):
-        # years of very different sizes, some slices shorter than the frame
+    for k, size in (("hot", 60), ("two", 2), ("five", 5), (None, 7)):
+        # slices of all sizes, many of them shorter than the frame
         for i in range(size):
-            data.append((k, rng.choice([2001, 2002, 2003, 2010]), i, rng.choice([0.0, 0.5, 1.0, None])))
+            data.append((k, rng.choice([2001, 2002, 2003, None]), i, rng.choice([0.0, 0.5, 1.0, None])))
     df = spark.createDataFrame(data, "k string, y int, i int, v double")
-    slices = None if hot_rows is None else [F.col("y"), F.floor(F.col("i") / 7)]
-    got = rolling_rows(df, ["k"], ["y", "i"], {"m": "v"}, agg, slice_by=slices, hot_rows=hot_rows or 0)
+    got = rolling_rows(df, ["k"], ["y", "i"], {"m": "v"}, agg, slice_rows=slice_rows)
     assert got.columns == ["k", "y", "i", "v"] + [f"m_{n}yrs" for n in (1, 2, 3, 4)]
     want = []
-    for k, rows in itertools.groupby(sorted(data, key=lambda r: r[:3]), key=lambda r: r[0]):
+    for k, rows in itertools.groupby(sorted(data, key=_nulls_last), key=lambda r: r[0]):
         rows = list(rows)
         rolled = [_brute_rolling([r[3] for r in rows], n, agg) for n in (1, 2, 3, 4)]
         want += [(*r, *(c[j] for c in rolled)) for j, r in enumerate(rows)]
@@ -87,8 +91,8 @@ def test_rolling_rows_against_brute_force(spark, agg, hot_rows):
 
 def test_rolling_one_row_is_the_input(spark):
     df = spark.createDataFrame([("a", i, float(i)) for i in range(5)], "k string, i int, v double")
-    for slices in (None, [F.col("i")]):
-        got = rolling_rows(df, ["k"], ["i"], {"m": "v"}, windows=(1,), slice_by=slices, hot_rows=0)
+    for slice_rows in (1, 100):
+        got = rolling_rows(df, ["k"], ["i"], {"m": "v"}, windows=(1,), slice_rows=slice_rows)
         assert all(r.m_1yrs == r.v for r in got.collect())
     with pytest.raises(ValueError):
         rolling_rows(df, ["k"], ["i"], {"m": "v"}, agg="max")
@@ -118,6 +122,40 @@ def test_next_event_date(spark):
     ]
 
 
+@pytest.mark.parametrize("slice_rows", [None, 1, 3, 10, 1_000_000])
+def test_sliced_dates_and_totals_against_brute_force(spark, slice_rows):
+    rng = random.Random(slice_rows or 0)
+    data = [(rng.choice(["hot", "hot", "hot", "b", None]), day(rng.randrange(40)) if rng.random() < 0.9 else None, i, rng.choice([None, 1, 2])) for i in range(150)]
+    df = spark.createDataFrame(data, "k string, d date, i int, n int").repartition(5)
+    dated, total = [], []
+    for k in ("hot", "b", None):
+        rows = sorted((r for r in data if r[0] == k), key=lambda r: (r[1] is None, r[1] or day(0), r[2]))
+        so_far = None
+        for j, r in enumerate(rows):
+            after = rows[j + 1][1] if k is not None and j + 1 < len(rows) else None
+            dated.append((k, r[2], after or day(99)))
+            so_far = so_far if r[3] is None else (so_far or 0) + r[3]
+            total.append((k, r[2], so_far))
+    order = lambda rows: sorted(rows, key=lambda r: [(v is None, str(v)) for v in r])
+    assert rows_of(next_event_date(df, ["k"], "d", "to", date_lit(day(99)), ["i"], slice_rows=slice_rows), "k", "i", "to") == order(dated)
+    assert rows_of(running_totals(df, ["k"], ["d", "i"], {"t": "n"}, slice_rows=slice_rows), "k", "i", "t") == order(total)
+
+
+def test_slices_are_bounded_and_the_same_in_any_partitions(spark):
+    """A key with a third of all rows: its slices stay near the size that was asked for."""
+    df = spark.range(90_000).selectExpr("if(id % 3 = 0, 0, id) as k", "id as i")
+    one, other = (sliced(d, ["k"], ["i"], 1000) for d in (df.repartition(3), df.repartition(11, "i")))
+    sizes = {r["__slice"]: r["count"] for r in one.groupBy("__slice").count().collect()}
+    assert sizes == {r["__slice"]: r["count"] for r in other.groupBy("__slice").count().collect()}
+    assert 60 <= len(sizes) <= 130 and max(sizes.values()) < 10_000
+    hot = one.where("k = 0")
+    assert hot.where("__opened").select("__slice").distinct().count() > 15
+    # neighbours: where a key goes on, the next slice begins with the row that was told
+    begins = {r["__slice"]: r["i"] for r in hot.groupBy("__slice").agg(F.min("i").alias("i")).collect()}
+    told = hot.where("__goes_on").select("__slice", F.col("__next.o0").alias("i")).distinct().collect()
+    assert told and all(begins[r["__slice"] + 1] == r["i"] for r in told)
+
+
 def test_running_totals(spark):
     df = spark.createDataFrame([(1, i, i) for i in (1, 2, 3)], "k int, i int, n int")
     assert rows_of(running_totals(df, ["k"], ["i"], {"t": "n"}), "i", "t") == [(1, 1), (2, 3), (3, 6)]

@@ -8,6 +8,7 @@ from helpers import rows_of
 from pyspark.sql import functions as F
 
 from riskfeatures import AuditorFeatures, DirectorsFeatures, LitigationFeatures, Sources, Universe
+from riskfeatures.operators.rolling import rolling_rows
 from riskfeatures.sources import TABLES
 from riskfeatures.workload import views
 
@@ -84,7 +85,7 @@ def test_hot_company_keeps_every_auditor(spark):
     frames = {"aoc4xbrl_auditor_dtls": rows}
     for name in ("form_aoc4_dtls", "aoc4_auditor_dtls", "adt3_general_resignation_dtls"):
         frames[name] = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in TABLES[name].items()))
-    plan = AuditorFeatures(Sources(spark, frames), spark.range(1, 6002), AS_ON, TODAY, hot_rows=100)
+    plan = AuditorFeatures(Sources(spark, frames), spark.range(1, 6002), AS_ON, TODAY, slice_rows=100)
     history = plan.auditor_history().where("company_master_id = 1").orderBy("auditor_pan")
     values = [0.5, 0.5, 0.5] + [1.0 if i % 10 == 9 else 0.0 for i in range(3000)]
     want = [sum(values[i : i + 4]) / 4 for i in range(3000)]
@@ -101,3 +102,22 @@ def test_recent_resignations_filter_before_any_exchange(spark):
     sources = views.sources(spark, SF_DIR, "director_history_details", "director_master", "dir12_director_dtls")
     got = DirectorsFeatures(sources, views.view(spark, SF_DIR, "companies"), views.AS_ON, views.TODAY).resigned_director_feat()
     assert len(rows_of(got)) == 150
+
+
+def test_windows_are_cut_by_key_and_slice_on_one_path(spark):
+    rows = spark.range(100).selectExpr("id % 3 as k", "id as i", "1.0d as v")
+    plan = physical(rolling_rows(rows, ["k"], ["i"], {"m": "v"}, slice_rows=10))
+    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan)
+    assert windows and all("__slice" in w or "__target" in w for w in windows)
+    # the cuts reach the rows inside the search, and are not handed on with them
+    assert "Subquery" in plan and not re.search(r"Exchange.*__cuts|Project \[[^(]*__cuts", plan)
+
+
+def test_audit_row_reads_each_table_once(spark, empty_sources):
+    plan = physical(AuditorFeatures(empty_sources, [1, 2], AS_ON, TODAY).get_auditor_features())
+    # by a column that only this table's scan asks for
+    marks = ("valid_data", "pan_no", "aud_firm_pan", "auditor_resignation_date", "t_fixed_assets")
+    reads = re.findall(r"ReadSchema: struct<([^>]*)", plan)
+    assert len(reads) == 5 and all(sum(mark + ":" in r for r in reads) == 1 for mark in marks)
+    # a company sends its last few rows, however many it has
+    assert "WindowGroupLimit" in plan

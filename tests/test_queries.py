@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from riskfeatures.workload import ORACLE, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
 @pytest.fixture(scope="module")
