@@ -11,7 +11,7 @@ from ..functions.text import is_one_of_years, strip, strip_lower, strip_upper
 from ..operators.answers import NEUTRAL_SCORE, answer_scores_by_year
 from ..operators.latest import any_per_key, first_per_key, latest_per_key
 from ..operators.lists import explode_ids
-from ..operators.members import COMPANY, Universe, company_years
+from ..operators.members import COMPANY, Universe, company_years, side_by_side
 from ..operators.rolling import rolling_rows
 from ..operators.slices import SLICE_ROWS
 from ..sources.registry import Sources
@@ -209,5 +209,10 @@ class AuditorFeatures:
     def get_auditor_features(self, one_row: bool = True) -> DataFrame:
         """36 scores per company, of its last row of the as-on year; without `one_row`, one
         row for each combination of the distinct flag scores in that year."""
-        flags = self.last_flag_scores() if one_row else self.flag_scores()
-        return self.universe.ids.join(self.caro_scores(), COMPANY, "left").join(flags, COMPANY, "left")
+        if one_row:
+            return side_by_side(self.found(), [COMPANY])
+        return self.caro_scores().join(self.flag_scores(), COMPANY, "left")
+
+    def found(self) -> list[DataFrame]:
+        """Both score blocks, each with a row for every company of the universe."""
+        return [self.caro_scores(), self.last_flag_scores()]

@@ -177,10 +177,13 @@ class LitigationFeatures:
         """Open cases on every day from the series start to today."""
         return open_daily(records, [COMPANY], self.series_start, self.as_on.today, name)
 
+    def found(self) -> list[DataFrame]:
+        """The counts kind by kind, of companies with cases of the kind."""
+        return [self.bifr_cases(), self.sat_cases(), self.nclt_cases(), self.court_cases()]
+
     def get_litigation_features(self) -> DataFrame:
         """All five counts; a company without cases of a kind has no value for it."""
-        blocks = [self.bifr_cases(), self.sat_cases(), self.nclt_cases(), self.court_cases()]
-        found = side_by_side(blocks, [COMPANY, "as_on_date"])
+        found = side_by_side(self.found(), [COMPANY, "as_on_date"])
         counts = [c for c in found.columns if c not in (COMPANY, "as_on_date")]
         any_value = F.coalesce(*counts).isNotNull()
         return found.where(any_value).join(self.universe.ids, COMPANY, "left_semi")

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from ..operators.members import COMPANY, Universe
+from ..operators.members import COMPANY, Universe, side_by_side
 from ..sources.registry import Sources
 from .audit import AuditorFeatures
 from .directors import DirectorsFeatures
@@ -16,21 +16,22 @@ from .litigation import LitigationFeatures
 
 
 def scorecard(sources: Sources, companies, as_on_date: dt.date, today: dt.date | None = None) -> DataFrame:
-    """The widest result: every block left-joined to the universe on the company id.
+    """The widest result: one row for every company of the universe.
 
-    Column names of the two financial blocks overlap, so theirs get an `ef_` or `fs_`
-    prefix. Every block holds one row per company and is already partitioned by it.
+    Column names of the two financial blocks overlap, so theirs get an `ef_` or `fs_` prefix.
+    All blocks hold at most one row per company. They are stacked and meet in one aggregation
+    by company, together with the universe; what a company lacks is filled in once, at the end.
     """
     universe = Universe.of(sources.spark, companies)
     args = (sources, universe, as_on_date, today)
-    out = universe.ids
+    directors = DirectorsFeatures(*args).found()
+    blocks = [universe.ids, *AuditorFeatures(*args).found(), *directors]
     for prefix, block in (
-        ("", AuditorFeatures(*args).get_auditor_features()),
-        ("", DirectorsFeatures(*args).get_director_features()),
-        ("ef_", EfFinancialFeatures(*args).get_ef_financials().drop("financial_year", "financial_year_start")),
-        ("fs_", FsFinancialFeatures(*args).get_fs_financials().drop("financial_year", "financial_year_start")),
-        ("", LitigationFeatures(*args).get_litigation_features().drop("as_on_date")),
+        ("ef_", EfFinancialFeatures(*args).get_ef_financials()),
+        ("fs_", FsFinancialFeatures(*args).get_fs_financials()),
     ):
-        renamed = {c: prefix + c for c in block.columns if c != COMPANY}
-        out = out.join(block.withColumnsRenamed(renamed), COMPANY, "left")
-    return out
+        block = block.drop("financial_year", "financial_year_start")
+        blocks.append(block.withColumnsRenamed({c: prefix + c for c in block.columns if c != COMPANY}))
+    blocks += [counts.drop("as_on_date") for counts in LitigationFeatures(*args).found()]
+    zeros = [c for block in directors for c in block.columns if c != COMPANY]
+    return side_by_side(blocks, [COMPANY]).fillna(dict.fromkeys(zeros, 0))
