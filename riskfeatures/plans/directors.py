@@ -212,8 +212,9 @@ class DirectorsFeatures:
         companies are formed, however many boards a director sits on.
         """
         directors = key_bits(self._liable(self.tenures()).where(self._in_office()), DIRECTOR)
-        boards = key_bits(self._liable(self.tenures(of_universe=False, directors=directors)), COMPANY)
         liable = self.liable_directors(directors)
+        # asks for every column of the pairs, so that their exchange serves here as well
+        boards = key_bits(liable.where("in_office is not null"), COMPANY)
         marked = side_by_side([of(boards).select(COMPANY, F.lit(1).alias(n)) for n, of in bad.items()], [COMPANY])
         ends = []
         for n in bad:
