@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.numbers import nan_to_null, to_num
 from .schemas import CONNECTION_OF, CONNECTIONS, TABLES
@@ -104,32 +104,73 @@ class Sources:
         filters: Mapping[str, Iterable] | None = None,
         keys: DataFrame | None = None,
         limit: int | None = None,
+        strict: bool = False,
+        observation: Observation | None = None,
     ) -> DataFrame:
         """Columns of a table in their declared types.
 
         filters: column -> admitted values, all of which must hold; they reach the scan.
         keys: a DataFrame of key columns; only rows whose key occurs in it remain.
+        strict: a value that its declared type cannot hold fails the job instead of being null.
+        observation: counts, in the pass that reads the rows, the values lost in each column.
         """
-        df = typed(self.raw(table), TABLES[table], columns) if table in TABLES else self.raw(table)
+        df = self.raw(table)
+        if table in TABLES:
+            if observation is not None:
+                lost = lost_values(df, TABLES[table], columns)
+                df = df.observe(observation, *(lost or [F.lit(0).alias("none")]))
+            df = typed(df, TABLES[table], columns, strict)
         if columns is not None:
             df = df.select(*columns)
         return narrow(df, filters, keys, limit)
 
 
-def typed(df: DataFrame, schema: Mapping[str, str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Cast to the declared types; what cannot be cast becomes null, as does NaN."""
+def _casts(df: DataFrame, schema: Mapping[str, str], columns: Sequence[str] | None) -> dict[str, str | None]:
+    """For each column wanted the expression that casts it, or None where its type is declared."""
     have = dict(df.dtypes)
-    out = []
+    out: dict[str, str | None] = {}
     for name in columns if columns is not None else [c for c in schema if c in have]:
         if name not in schema:
             raise ValueError(f"unknown column {name!r}")
         if name not in have:
             raise ValueError(f"the source lacks column {name!r}")
-        c = name if have[name] == schema[name] else to_num(name, schema[name])
+        out[name] = None if have[name] == schema[name] else to_num(name, schema[name])
+    return out
+
+
+def typed(df: DataFrame, schema: Mapping[str, str], columns: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
+    """Cast to the declared types; what cannot be cast becomes null, or fails the job if
+    `strict`. NaN becomes null in any case."""
+    out = []
+    for name, cast in _casts(df, schema, columns).items():
+        c = cast or name
+        if cast and strict:
+            told = f"raise_error(concat('{name}: not a {schema[name]}: ', cast({name} as string)))"
+            c = f"case when {name} is not null and {cast} is null then cast({told} as {schema[name]}) else {cast} end"
         out.append(f"{nan_to_null(c)} as {name}" if schema[name] == "double" else f"{c} as {name}")
     return df.selectExpr(*out)
 
 
+def lost_values(df: DataFrame, schema: Mapping[str, str], columns: Sequence[str] | None = None) -> list[Column]:
+    """How many values of each column that needs a cast are lost by it, as aggregates."""
+    return [
+        F.expr(f"count_if({name} is not null and {cast} is null)").alias(name)
+        for name, cast in _casts(df, schema, columns).items()
+        if cast
+    ]
+
+
+def cast_losses(df: DataFrame, schema: Mapping[str, str], columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, lost, total) of the columns that need a cast, in one aggregation."""
+    lost = lost_values(df, schema, columns)
+    names = [name for name, cast in _casts(df, schema, columns).items() if cast]
+    counted = df.agg(*lost, F.count(F.lit(1)).alias("__total"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("lost")) for n in names])
+    if not names:
+        pairs = F.array().cast("array<struct<column_name: string, lost: bigint>>")
+    return counted.select(F.inline(pairs), F.col("__total").alias("total"))
+
+
 def narrow(
     df: DataFrame,
     filters: Mapping[str, Iterable] | None = None,

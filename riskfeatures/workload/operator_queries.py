@@ -16,7 +16,9 @@ from ..operators.latest import any_per_key, latest_per_key, prefer_consolidated
 from ..operators.lists import explode_ids
 from ..operators.members import company_years, complete_with, conditional_distinct, membership_flag, side_by_side
 from ..operators.rolling import history_features, next_event_date, rolling_rows, running_totals
+from ..sources.registry import cast_losses as losses_of
 from ..sources.registry import narrow
+from ..sources.schemas import TABLES
 from .registry import query
 from .views import AS_ON, SERIES_START, TODAY, fy_label, run_sql, sources, view
 
@@ -59,6 +61,19 @@ def scan_unfiltered(spark, d):
     return sources(spark, d, "credit_rating_data").read("credit_rating_data", [COMPANY, "d_date_of_last_rating"])
 
 
+# ratings as a text export would hold them: some ids and days are no ids and days
+_RATING_TEXT = """select case when o_orderpriority = '2-HIGH' then 'n/a' else cast(o_custkey as string) end as company_master_id,
+  ' agency' as credit_rating_agency, 'D' as derived_long_term_rating,
+  case o_orderpriority when '5-LOW' then 'unknown' when '1-URGENT' then null else cast(cast(o_orderdate as date) as string) end as d_date_of_last_rating
+from orders"""
+
+
+@query("""select 'company_master_id' as column_name, count(*) filter (o_orderpriority = '2-HIGH') as lost, count(*) as total from orders
+union all select 'd_date_of_last_rating', count(*) filter (o_orderpriority = '5-LOW'), count(*) from orders""")
+def cast_losses(spark, d):
+    return losses_of(run_sql(spark, d, _RATING_TEXT), TABLES["credit_rating_data"])
+
+
 @query("select case_number, company_master_id from (select * from yml_bifr_litigation_data) "
        "order by company_master_id, case_number limit 100")
 def scan_limit(spark, d):

@@ -15,6 +15,7 @@ from riskfeatures.operators.lists import explode_ids
 from riskfeatures.operators.members import (
     Universe, company_years, complete_with, conditional_distinct, membership_flag, side_by_side,
 )
+from riskfeatures.operators.key_filter import key_bits, may_be_among
 from riskfeatures.operators.rolling import history_features, next_event_date, rolling_rows, running_totals
 from riskfeatures.operators.slices import sliced
 
@@ -315,3 +316,14 @@ def test_open_now_and_conditions(spark):
 def test_dedup_takes_first_filing_and_last_disposal(spark):
     df = spark.createDataFrame([(1, day(4), day(5), 0), (1, day(2), day(9), 1)], "k int, filed date, disposed date, f int")
     assert rows_of(dedup_cases(df, ["k"], flags=["f"])) == [(1, day(2), day(9), 1)]
+
+
+def test_key_filter_loses_no_key_and_passes_few_others(spark):
+    keys = spark.range(0, 30_000, 3).selectExpr("if(id % 2 = 0, id, null) as k", "'x' as other")
+    rows = spark.range(200_000).selectExpr("cast(id as int) as k", "id as row").union(spark.sql("select null, -1L"))
+    got = may_be_among(rows, "k", key_bits(keys, "k"))
+    assert got.columns == ["k", "row"]
+    found = {r.k for r in got.collect()}
+    wanted = set(range(0, 30_000, 6))
+    assert wanted <= found and None not in found and len(found - wanted) < 200
+    assert may_be_among(rows, "k", key_bits(keys.where("k < 0"), "k")).count() == 0

@@ -8,6 +8,7 @@ from helpers import rows_of
 from pyspark.sql import functions as F
 
 from riskfeatures import AuditorFeatures, DirectorsFeatures, LitigationFeatures, Sources, Universe
+from riskfeatures.operators.key_filter import key_bits
 from riskfeatures.operators.rolling import rolling_rows
 from riskfeatures.sources import TABLES
 from riskfeatures.workload import views
@@ -121,3 +122,49 @@ def test_audit_row_reads_each_table_once(spark, empty_sources):
     assert len(reads) == 5 and all(sum(mark + ":" in r for r in reads) == 1 for mark in marks)
     # a company sends its last few rows, however many it has
     assert "WindowGroupLimit" in plan
+
+
+def test_dependent_reads_are_reduced_at_the_scan(spark, empty_sources):
+    """Master, remarks, ratings, defaults and other tenures meet a bitmap of keys before any exchange."""
+    features = DirectorsFeatures(empty_sources, [1, 2], AS_ON, TODAY)
+    bits = key_bits(spark.range(5), "id")
+    plans = {
+        ("derived_long_term_rating",): features.is_dir_in_d_rated_company(),
+        ("credit_bureau",): features.default_periods(bits),
+        ("DIN", "remarks"): features.disq_dir_active(),
+    }
+    for marks, plan in plans.items():
+        # the blanks to strip are printed as they are, line ends among them
+        plan = re.sub(r"Some\([^)]*\)", "Some()", physical(plan))
+        lines = plan.splitlines()
+        for mark in marks:
+            scans = [i for i, line in enumerate(lines) if "FileScan" in line and re.search(rf"ReadSchema: .*\b{mark}:", line)]
+            assert scans, mark
+            for i in scans:
+                # going up from the scan, the join with the bitmap comes before an exchange
+                depth, above = len(lines[i]) - len(lines[i].lstrip(" :+-")), []
+                for line in reversed(lines[:i]):
+                    indent = len(line) - len(line.lstrip(" :+-"))
+                    if indent < depth:
+                        above.append(line)
+                        depth = indent
+                first = next(line for line in above if "Exchange" in line or "__word" in line and "Join" in line)
+                assert "Join" in first, (mark, first)
+
+
+def test_dependent_reads_pass_few_rows(spark):
+    """One company of ten thousand: hardly any rating or remark is read for it."""
+    n = 10_000
+    tenures = spark.range(n).selectExpr(
+        "id as company_master_id", "id div 2 as director_master_id", "'director' as designation",
+        "'1/1/2010' as appointment_original_date", "cast(null as string) as date_cessation",
+    )
+    ratings = spark.range(n).selectExpr(
+        "id as company_master_id", "'X' as credit_rating_agency", "'D' as derived_long_term_rating", "date '2019-01-01' as d_date_of_last_rating",
+    )
+    plan = DirectorsFeatures(Sources(spark, {"director_history_details": tenures, "credit_rating_data": ratings}), [7], AS_ON, TODAY)
+    directors = key_bits(plan.tenures(), "director_master_id")
+    boards = key_bits(plan.liable_directors(directors), "company_master_id")
+    assert 2 <= plan.liable_directors(directors).count() <= 20
+    assert 2 <= plan.rating_periods(boards).count() <= 50
+    assert rows_of(plan.is_dir_in_d_rated_company()) == [(7, 1)]

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from helpers import rows_of
+from pyspark.sql import Observation
 
 from riskfeatures.sources import CONNECTION_OF, TABLES, Sources
 
@@ -102,3 +103,23 @@ def test_jdbc_needs_a_word_on_every_table(spark):
         assert Sources.jdbc_options(table, "url", partition=slices(column))["partitionColumn"] == column
     with pytest.raises(ValueError, match="no column"):
         Sources.jdbc_options("director_master", "url", partition=slices("company_master_id"))
+
+
+def test_lost_values_are_counted_in_the_reading_pass(spark, ratings):
+    seen = Observation()
+    got = Sources(spark, {"credit_rating_data": ratings}).read("credit_rating_data", observation=seen)
+    assert got.count() == 3
+    assert seen.get == {"company_master_id": 1, "d_date_of_last_rating": 1}
+    nothing = Observation()
+    exact = ratings.select("credit_rating_agency", "derived_long_term_rating")
+    assert Sources(spark, {"credit_rating_data": exact}).read("credit_rating_data", observation=nothing).count() == 3
+    assert nothing.get == {"none": 0}
+
+
+def test_strict_reads_fail_on_a_bad_value_alone(spark, ratings):
+    source = Sources(spark, {"credit_rating_data": ratings})
+    with pytest.raises(Exception, match="company_master_id: not a bigint: x"):
+        source.read("credit_rating_data", ["company_master_id"], strict=True).collect()
+    good = Sources(spark, {"credit_rating_data": ratings.where("credit_rating_agency = ' X' or company_master_id is null")})
+    assert rows_of(good.read("credit_rating_data", ["company_master_id", "d_date_of_last_rating"], strict=True)) == [(1, dt.date(2020, 1, 2))]
+    assert rows_of(source.read("credit_rating_data", ["company_master_id"])) == [(1,), (2,), (None,)]
