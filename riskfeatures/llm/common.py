@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,6 +26,7 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()  # where stored frames lie
 _OWN: dict[str, str] = {}  # folders of local applications
 
 
@@ -53,7 +55,19 @@ def stored(df: DataFrame, name: str = "part") -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[frame] = path
+    return frame
+
+
+def forget(*frames: DataFrame | None) -> None:
+    """Delete the files of stored frames that nothing reads any more."""
+    for frame in frames:
+        path = _FOLDERS.pop(frame, None) if frame is not None else None
+        if path is not None:
+            jvm = frame.sparkSession.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
 def fresh(df: DataFrame, *names: str) -> DataFrame:

@@ -3,8 +3,8 @@
 A sketch has a register per bucket: the leading zeros of the smallest hash in the bucket and
 the bits that follow. Bands of registers propose pairs, the registers of a pair estimate its
 likeness (corrected for chance collisions), and what may reach the threshold is decided on
-the full sets. Pairs of a bucket are not all formed: members meet the first one, and again
-the next ones only as long as the bucket has members that nothing links.
+the full sets. Pairs of a bucket are not all formed: members meet the least one, and only
+where a bucket still holds several components do the others meet, on folded registers.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import small_batches, stored
+from .common import forget, small_batches, stored
 
 BUCKETS = 256
 MANTISSA = 10  # bits after the leading zeros
 BANDS, WIDTH = 42, 6  # a pair at 0.8 misses every band with probability (1 - 0.8**6)**42 = 3e-6
-MARGIN = 0.2  # estimates this far below the threshold are seven standard deviations off
-ESTIMATED = 4 * BUCKETS // 5  # sets with fewer shingles share registers too much for an estimate
+TILE = 1024  # members of a bucket that one task compares with as many others
+TOGETHER = 256  # partners of a document whose texts are compared with its own in one group
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,6 +92,23 @@ def estimated(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip((same - chance) / (1 - chance), 0, 1)
 
 
+def margin(n: np.ndarray) -> np.ndarray:
+    """How far below the threshold an estimate may lie: five standard deviations, where the
+    smaller set has n shingles. Borrowed registers of small sets count for half a shingle."""
+    return 5 * 0.4 / np.sqrt(np.clip(n / 2, 1, BUCKETS))
+
+
+def folded(registers: np.ndarray) -> np.ndarray:
+    """Registers cut to four mixed bits, two in a byte."""
+    small = ((registers * np.uint16(40503)) >> np.uint16(12)).astype(np.uint8)
+    return small[..., ::2] << 4 | small[..., 1::2]
+
+
+def unfolded(small: list[bytes]) -> np.ndarray:
+    pairs = np.frombuffer(b"".join(small), np.uint8).reshape(len(small), -1)
+    return np.stack([pairs >> 4, pairs & 15], axis=2).reshape(len(small), -1)
+
+
 def _sketches(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sizes, digest, sketches = [], [], []
@@ -100,20 +117,14 @@ def _sketches(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]
             sizes.append(len(s))
             digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"")
             sketches.append(sketch(s).tobytes() if len(s) else b"")
-        yield pd.DataFrame({"id": batch["id"], "n": sizes, "digest": digest, "sketch": sketches})
+        yield pd.DataFrame({"id": batch["id"], "mark": batch["mark"], "n": sizes, "digest": digest, "sketch": sketches})
 
 
 def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if len(batch):
             registers = np.frombuffer(b"".join(batch["sketch"]), np.uint16).reshape(-1, BUCKETS)
-            yield pd.DataFrame(
-                {
-                    "key": band_keys(registers).reshape(-1),
-                    "id": np.repeat(batch["id"].to_numpy(), BANDS),
-                    "n": np.repeat(batch["n"].to_numpy(), BANDS),
-                }
-            )
+            yield pd.DataFrame({"key": band_keys(registers).reshape(-1), "node": np.repeat(batch["node"].to_numpy(), BANDS)})
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -132,7 +143,7 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         both = both.unionByName(labels.where("id <> comp").selectExpr("id as a", "comp as b")).unionByName(
             labels.where("id <> comp").selectExpr("comp as a", "id as b")
         )
-        now = ids.join(labels, "id", "full_outer").select("id", F.coalesce("comp", "id").alias("comp"))
+        now = ids.join(labels.select("id", "comp"), "id", "full_outer").select("id", F.coalesce("comp", "id").alias("comp"))
 
     def told(now: DataFrame) -> DataFrame:
         # each id asks its neighbours, and the id that it is labelled with, for their labels
@@ -141,12 +152,160 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         best = heard.unionByName(now.select("id", "comp", F.col("comp").alias("was"))).groupBy("id")
         return best.agg(F.min("comp").alias("comp"), F.max("was").alias("was"))
 
+    then = None
     while True:
-        then = stored(told(told(now).select("id", "comp")), "labels")
+        before, then = then, stored(told(told(now).select("id", "comp")), "labels")
+        forget(before)
         now = then.select("id", "comp")
         # what the second of two rounds leaves as it was, another one would leave too
-        if not then.where("was <> comp").limit(1).count():
-            return now
+        if then.where("was <> comp").isEmpty():
+            return then
+
+
+def _tiles(batches: Iterator[pd.DataFrame], percent: int, best: bool) -> Iterator[pd.DataFrame]:
+    """Pairs of different components that may reach the threshold, from rows sorted by tile.
+
+    A tile holds some members of a bucket (role 0) and some members outside its largest
+    component (role 1), which meet. With `best`, each of the latter names only its likeliest
+    partner in each other component.
+    """
+    chance = 1 / 16
+
+    def met(tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        role = tile["role"].to_numpy()
+        node, n, comp = (tile[c].to_numpy() for c in ("node", "n", "comp"))
+        few, every = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
+        if not len(few) or not len(every):
+            return
+        registers = unfolded(list(tile["small"]))
+        of_all, n_all, comp_all, node_all = registers[every], n[every], comp[every], node[every]
+        for i in few:
+            small, great = np.minimum(n_all, n[i]), np.maximum(n_all, n[i])
+            at = np.flatnonzero((comp_all != comp[i]) & (100 * small >= percent * great))
+            if not len(at):
+                continue
+            like = ((of_all[at] == registers[i]).mean(axis=1) - chance) / (1 - chance)
+            may = like >= percent / 100 - margin(small[at])
+            at, like = at[may], like[may]
+            if best and len(at) > 1:
+                order = np.lexsort((node_all[at], -like))
+                at = at[order[np.unique(comp_all[at][order], return_index=True)[1]]]
+            if len(at):
+                yield np.minimum(node_all[at], node[i]), np.maximum(node_all[at], node[i])
+
+    def done(rows: pd.DataFrame) -> pd.DataFrame:
+        tile = rows[["key", "i", "j"]].to_numpy()
+        cuts = np.flatnonzero((tile[1:] != tile[:-1]).any(axis=1)) + 1
+        found = [p for x, y in zip(np.r_[0, cuts], np.r_[cuts, len(rows)]) for p in met(rows.iloc[x:y])]
+        a, b = (np.concatenate([p[s] for p in found]) if found else np.empty(0, np.int64) for s in (0, 1))
+        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+    held = None
+    for batch in batches:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if not len(held):
+            continue
+        tile = held[["key", "i", "j"]].to_numpy()
+        whole = int(np.flatnonzero((tile == tile[-1]).all(axis=1))[0])  # the last tile may go on
+        if whole:
+            yield done(held.iloc[:whole])
+            held = held.iloc[whole:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield done(held)
+
+
+def apart(rows: DataFrame, classes: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Distinct pairs `a`, `b` of different components that share a bucket and may be alike.
+
+    Members outside the largest component of a bucket meet all members, in tiles of about
+    TILE by TILE rows, so no task holds a whole bucket. Buckets of one component are left out.
+    """
+    counts = rows.groupBy("key", "comp").agg(F.count("*").alias("of")).groupBy("key")
+    counts = counts.agg(F.sum("of").alias("members"), F.max(F.struct("of", "comp")).alias("most")).where("most.of < members")
+    tiles = lambda c: F.ceil(c / TILE).cast("int")
+    counts = counts.select("key", F.col("most.comp").alias("main"), tiles(F.col("members")).alias("wide"), tiles(F.col("members") - F.col("most.of")).alias("high"))
+    small = classes.select("node", "n", "small")
+    mixed_rows = rows.join(counts, "key").join(small, "node")
+    at_j, at_i = F.pmod(F.xxhash64("node"), "wide").cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), "high").cast("int")
+    place = lambda i, j, role: F.struct(i.alias("i"), j.alias("j"), F.lit(role).alias("role"))
+    wide = F.transform(F.sequence(F.lit(0), F.col("high") - 1), lambda i: place(i, at_j, 0))
+    high = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda j: place(at_i, j, 1))
+    places = F.when(F.col("comp") == F.col("main"), wide).otherwise(F.concat(wide, high))
+    dealt = mixed_rows.select("key", "node", "comp", "n", "small", F.inline(places)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInPandas(lambda b: _tiles(b, percent, best), "a long, b long").distinct()
+
+
+def _classes(source: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with size and digest of their sets, and one row per different set."""
+
+    @F.pandas_udf("binary")
+    def small(sketches: pd.Series) -> pd.Series:
+        return pd.Series([folded(np.frombuffer(s, np.uint16)).tobytes() for s in sketches], dtype=object)
+
+    every = source.mapInPandas(lambda b: _sketches(b, k), "id long, mark long, n long, digest binary, sketch binary")
+    every = stored(every, "sketches")
+    classes = every.where("id is not null and n > 0").groupBy("digest")
+    classes = classes.agg(F.min(F.struct("id", "mark")).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # numbered once: what is stored is read by all that follows
+    classes = classes.select(F.monotonically_increasing_id().alias("node"), "digest", "least.id", "least.mark", "n", "sketch", small("sketch").alias("small"))
+    return every, stored(classes, "classes")
+
+
+def _groups(source: DataFrame, k: int, percent: int) -> DataFrame:
+    """One row per row of source (`id`, `mark`, `text`): `id`, `mark`, `n`, `digest`, and the
+    smallest id and digest (`component`, `first`) of the component, null where there is none."""
+    every, classes = _classes(source, k)
+    bands = classes.select("node", "sketch").mapInPandas(_bands, "key long, node long")
+    shared = bands.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
+    rows = stored(bands.join(shared, "key"), "buckets")
+    labels = None
+
+    def labelled(node: str, comp: str) -> DataFrame:
+        return labels.select(F.col("id").alias(node), F.col("comp").alias(comp))
+
+    def linked(pairs: DataFrame) -> None:
+        nonlocal labels
+        edges = stored(confirmed(pairs, classes, source, k, percent), "edges")
+        if not edges.isEmpty():
+            before = labels
+            labels = components(edges, labels)
+            forget(before)
+        forget(edges)
+
+    def with_comp() -> DataFrame:
+        if labels is None:
+            return rows.withColumn("comp", F.col("node"))
+        return rows.join(labelled("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+    # Each set meets the least member of one of its buckets, then those of all of them.
+    met = rows.where("least < node")
+    linked(may_link(met.groupBy("node").agg(F.min("least").alias("a")).select("a", F.col("node").alias("b")), classes, percent))
+    if labels is not None:
+        met = with_comp().where("least < node").join(labelled("least", "of_least"), "least", "left").where(F.col("comp") != F.coalesce("of_least", "least"))
+    linked(may_link(met.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), classes, percent))
+    # What is still apart within a bucket: first the likeliest partners, then all that may be.
+    for best in (True, False):
+        linked(apart(with_comp(), classes, percent, best))
+    forget(rows)
+
+    nodes = classes.select("digest", "id", "node")
+    if labels is None:
+        of_digest = nodes.select("digest", F.col("id").alias("component"), F.col("digest").alias("first"))
+    else:
+        nodes = nodes.join(labelled("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        least = nodes.groupBy("comp").agg(F.min(F.struct("id", "digest")).alias("least"))
+        of_digest = nodes.join(least, "comp").select("digest", F.col("least.id").alias("component"), F.col("least.digest").alias("first"))
+    return every.select("id", "mark", "n", "digest").join(of_digest, "digest", "left")
+
+
+def _source(df: DataFrame, key: str, text: str) -> DataFrame:
+    small_batches(df.sparkSession)
+    return df.select(F.col(f"`{key}`").cast("bigint").alias("id"), _mark(text).alias("mark"), F.col(f"`{text}`").alias("text"))
+
+
+def _mark(text: str) -> Column:
+    """Tells texts under one key apart."""
+    return F.xxhash64(F.col(f"`{text}`"))
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -155,49 +314,14 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, key: str = "do
     Documents whose sets of k-word shingles have an intersection of at least `percent` per
     cent of their union are linked; a component is named by its smallest key, which is kept.
     Equal sets count once. A document without words is linked with nothing. Rows that share
-    a key are documents of their own, so repeated rows share a component and are all kept if
-    one is; a row without key is kept and has no component. Works on whole texts; other
-    columns are left out. Proposals by bands miss a pair at the threshold with a probability
-    of 3e-6, and none with equal sets; every reported link is confirmed on the full sets.
+    a key are documents of their own, each linked by its own text, so repeated rows share a
+    component and are all kept if one is; a row without key is kept and has no component.
+    Works on whole texts; other columns are left out. Proposals by bands miss a pair at the
+    threshold with a probability of 3e-6, estimates of what they propose with one of 3e-7,
+    and none with equal sets; every reported link is confirmed on the full sets.
     """
-    small_batches(df.sparkSession)
-    source = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    every = source.mapInPandas(lambda b: _sketches(b, k), "id long, n long, digest binary, sketch binary")
-    every = stored(every, "sketches")
-    sets = every.where("id is not null and n > 0")
-    classes = stored(sets.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    reps = sets.join(classes, "digest").where("id = rep").groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    reps = stored(reps, "classes")
-
-    bands = reps.mapInPandas(_bands, "key long, id long, n long")
-    shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key")
-    rows = stored(bands.join(shared, "key").withColumn("comp", F.col("id")), "buckets")
-    labels, pivots_at_once = None, 1
-    while rows.limit(1).count():
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        pivots = rows.withColumn("rank", rank).where(F.col("rank") <= pivots_at_once)
-        pivots = pivots.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-        met = rows.join(pivots, "key").where((F.col("id") > F.col("a")) & (F.col("comp") != F.col("comp_a")))
-        may = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
-        pairs = met.where(may).select("a", F.col("id").alias("b")).distinct()
-        edges = stored(confirmed(pairs, reps, source, k, percent), "edges")
-        if edges.limit(1).count():
-            labels = components(edges, labels)
-        # Pivots have met all that come after them; the rest meets again if it is not one yet.
-        done = pivots.groupBy("key").agg(F.max("a").alias("done"))
-        rest = rows.join(done, "key").where(F.col("id") > F.col("done")).select("key", "id", "n")
-        if labels is not None:
-            rest = rest.join(labels, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
-        else:
-            rest = rest.withColumn("comp", F.col("id"))
-        apart = rest.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key")
-        rows = stored(rest.join(apart, "key"), "buckets")
-        pivots_at_once *= 32
-
-    of_rep = classes if labels is None else classes.join(labels, classes.rep == labels.id, "left").select("digest", F.coalesce("comp", "rep").alias("rep"))
-    found = every.select("id", "n", "digest").join(of_rep.select("digest", F.col("rep").alias("comp")), "digest", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
-    return found.select(
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return _groups(_source(df, key, text), k, percent).select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
@@ -205,46 +329,77 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, key: str = "do
     )
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, source: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs `a`, `b` whose full sets reach the threshold."""
+def may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs `a`, `b` whose sizes and sketches leave the threshold within reach."""
 
     @F.pandas_udf("boolean")
     def maybe(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.Series:
         if not len(a):
             return pd.Series([], dtype=bool)
         rows = [np.frombuffer(b"".join(s), np.uint16).reshape(-1, BUCKETS) for s in (a, b)]
-        few = np.minimum(n_a.to_numpy(), n_b.to_numpy()) < ESTIMATED
-        return pd.Series(few | (estimated(*rows) >= percent / 100 - MARGIN))
+        return pd.Series(estimated(*rows) >= percent / 100 - margin(np.minimum(n_a.to_numpy(), n_b.to_numpy())))
 
-    @F.pandas_udf("boolean")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for s, t in zip(a, b):
-            x, y = shingle_set(s, k), shingle_set(t, k)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= percent * (len(x) + len(y) - both))
-        return pd.Series(out, dtype=bool)
-
-    side = lambda s: reps.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(maybe("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b")
-    near = stored(near, "pairs")
-    ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
-    texts = source.join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    of = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
-    return near.join(of("a"), "a").join(of("b"), "b").where(alike("text_a", "text_b")).select("a", "b")
+    side = lambda s: classes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    return both.where(maybe("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b")
+
+
+def _compared(batches: Iterator[pd.DataFrame], k: int, percent: int) -> Iterator[pd.DataFrame]:
+    """Pairs whose full sets reach the threshold; a row without `b` holds the text of `a` for
+    those that follow."""
+    of, first = None, None
+    for batch in batches:
+        a, b = [], []
+        for node, salt, other, text in zip(batch["a"], batch["salt"], batch["b"], batch["text"]):
+            s = shingle_set(text, k)
+            if other < 0:
+                of, first = (node, salt), s
+            elif of == (node, salt):
+                both = len(np.intersect1d(first, s, assume_unique=True))
+                if 100 * both >= percent * (len(first) + len(s) - both):
+                    a.append(node)
+                    b.append(other)
+        yield pd.DataFrame({"a": np.asarray(a, np.int64), "b": np.asarray(b, np.int64)})
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs `a`, `b` whose full sets reach the threshold.
+
+    The text of `a` goes once to each group of some `TOGETHER` partners, whose texts go to
+    the group once each.
+    """
+    pairs = stored(pairs, "pairs")
+    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / TOGETHER).cast("int").alias("groups"))
+    # one text per node: rows that repeat both key and text are alike
+    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = source.join(classes.join(ids, "node").select("node", "id", "mark"), ["id", "mark"]).groupBy("node").agg(F.first("text").alias("text"))
+    firsts = groups.join(texts, groups.a == texts.node).select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.lit(-1).cast("bigint").alias("b"), "text")
+    others = pairs.join(groups, "a").join(texts, F.col("b") == texts.node)
+    others = others.select("a", F.pmod(F.xxhash64("b"), "groups").cast("int").alias("salt"), "b", "text")
+    dealt = firsts.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", "b")
+    return dealt.mapInPandas(lambda batches: _compared(batches, k, percent), "a long, b long")
 
 
 def deduplicate(df: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of df of which one document of each group of near-duplicates stays.
 
-    Of rows that share a key one stays. Rows without key or without words all stay.
+    It is the one with the smallest key; of several texts of the group under that key, one
+    stays, and of rows that repeat its key and text as well. Rows without key all stay, and
+    so do rows without words, but for those that repeat key and text.
     """
-    found = near_duplicates(df, k, percent, key, text).where(F.col(key).isNotNull())
-    lost = found.groupBy(key).agg(F.max("kept").alias("__kept")).where(~F.col("__kept")).select(key)
-    left = df.join(lost, key, "left_anti")
+    rows = _groups(_source(df, key, text), k, percent).where("id is not null").withColumnsRenamed({"id": "__id", "mark": "__mark"})
+    stays = F.col("first").isNull() | ((F.col("__id") == F.col("component")) & (F.col("digest") == F.col("first")))
+    rows = rows.groupBy("__id", "__mark").agg(F.max(stays).alias("stays"), F.count("*").alias("copies"), F.max("digest").alias("digest"), F.max("n").alias("n"))
+    # texts of one key and one set may differ in case or white space: the one of least mark stays
+    one = F.min("__mark").over(Window.partitionBy("__id", "digest")) == F.col("__mark")
+    rows = stored(rows.withColumn("stays", F.col("stays") & (one | (F.col("n") == 0))).select("__id", "__mark", "stays", "copies"), "decisions")
     names = [f"`{c}`" for c in df.columns]
-    keyed, alone = left.where(F.col(f"`{key}`").isNotNull()), left.where(F.col(f"`{key}`").isNull())
-    return keyed.dropDuplicates([key]).select(*names).unionByName(alone.select(*names))
+    marked = df.withColumn("__id", F.col(f"`{key}`").cast("bigint")).withColumn("__mark", _mark(text))
+    lost = rows.where("not stays or copies > 1").select("__id", "__mark")
+    many = rows.where("stays and copies > 1").select("__id", "__mark")
+    left = marked.join(lost, ["__id", "__mark"], "left_anti").select(*names)
+    again = marked.join(many, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"]).select(*names)
+    return left.unionByName(again)
 
 
 def oracle(k: int = 4, percent: int = 80) -> str:

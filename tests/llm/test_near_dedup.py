@@ -77,5 +77,27 @@ def test_ties_and_empty(spark):
     assert nd.near_duplicates(df.where("doc_id > 9")).collect() == []
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_texts_under_one_key(spark, swap):
+    words = [f"w{i}" for i in range(40)]
+    a, b = " ".join(words), " ".join(w + "x" for w in words)
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " more"), (4, "else")]
+    rows = [rows[1], rows[0], *rows[2:]] if swap else rows
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as mark", "'x' as digest").coalesce(1)
+    got = sorted(map(tuple, nd.near_duplicates(df).collect()))
+    assert [(r[0], r[2], r[3]) for r in got] == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+    left = nd.deduplicate(df)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([(1, a), (1, b), (4, "else")])
+
+
+def test_small_tiles(spark, monkeypatch):
+    monkeypatch.setattr(nd, "TILE", 3)
+    monkeypatch.setattr(nd, "TOGETHER", 2)
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, nd.near_duplicates(df).collect())) == brute(rows, 5)
+
+
 def test_sql_agrees(spark, agrees):
     agrees(op3_near_dedup(spark, "/root/testdata/sf0.001"), nd.oracle())
