@@ -120,7 +120,8 @@ def learn(df: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     """Model of a labelled sample of at most `sample` texts, half of them of each label if there are.
 
     Texts are chosen by a hash of their key, among labelled ones that are not held out. Keys
-    with contradicting labels or without a label don't take part.
+    with contradicting labels or without a label don't take part. Of rows that repeat a key
+    the least text counts.
     """
     of_key = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
     of_key = of_key.groupBy(key).agg(F.min(label).alias("label"), F.max(label).alias("most")).where("label = most")
@@ -135,8 +136,8 @@ def learn(df: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 
     # at most `sample` rows of two numbers, which is what makes this broadcast safe
     texts = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).join(F.broadcast(chosen), "k")
-    rows = texts.select("k", "label", counted("t").alias("c")).limit(2 * sample).collect()
-    rows = sorted({r["k"]: r for r in sorted(rows, key=lambda r: bytes(r["c"]))}.values(), key=lambda r: r["k"])
+    texts = texts.groupBy("k", "label").agg(F.min("t").alias("t"))
+    rows = sorted(texts.select("k", "label", counted("t").alias("c")).collect(), key=lambda r: r["k"])
     counts = np.stack([np.frombuffer(r["c"], np.float32) for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
     return fit(counts, np.asarray([r["label"] for r in rows], np.float64))
 

@@ -41,3 +41,13 @@ def test_edges(spark):
     one = quality.digests(quality.classify(spark, docs, labels.selectExpr("4L as doc_id", "0 as quality"))).collect()
     assert {r.predicted for r in one} <= {0, 1} and len(one) == 4
     assert quality.classify(spark, docs.where("doc_id > 9"), labels).collect() == []
+
+
+def test_repeated_keys(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality long")
+    texts = [(i, f"{'good plain words' if i % 2 else '$$ !! 99'} {i}") for i in range(1, 60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    more = [(i, "~ " + t) for i, t in texts for _ in range(200)] + [(1, None)]
+    again = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string")).repartition(7)
+    scores = lambda learnt: [tuple(r) for r in quality.score_quality(docs, learnt).orderBy("doc_id").collect()]
+    assert scores(quality.learn(again, labels, sample=8)) == scores(quality.learn(docs, labels, sample=8))
