@@ -4,7 +4,8 @@ A sketch has a register per bucket: the leading zeros of the smallest hash in th
 the bits that follow. Bands of registers propose pairs, the registers of a pair estimate its
 likeness (corrected for chance collisions), and what may reach the threshold is decided on
 the full sets. Pairs of a bucket are not all formed: members meet the least one, and only
-where a bucket still holds several components do the others meet, on folded registers.
+where a bucket still holds several components do the others meet: small sets as they are,
+larger ones by folded registers.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ BUCKETS = 256
 MANTISSA = 10  # bits after the leading zeros
 BANDS, WIDTH = 42, 6  # a pair at 0.8 misses every band with probability (1 - 0.8**6)**42 = 3e-6
 TILE = 1024  # members of a bucket that one task compares with as many others
+WHOLE = 512  # sets of at most so many shingles meet as they are, larger ones by their sketches
 TOGETHER = 256  # partners of a document whose texts are compared with its own in one group
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -162,12 +164,30 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return then
 
 
-def _tiles(batches: Iterator[pd.DataFrame], percent: int, best: bool) -> Iterator[pd.DataFrame]:
-    """Pairs of different components that may reach the threshold, from rows sorted by tile.
+def _overlaps(sets: list[np.ndarray], of: np.ndarray, every: np.ndarray) -> Iterator[np.ndarray]:
+    """For each set of `of`, how many elements it shares with each set of `every`; both are
+    places in `sets`, none of which is empty."""
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    ends = np.cumsum([len(x) for x in sets])
+    begins = np.r_[0, ends[:-1]]
+    all_codes = np.concatenate([codes[begins[i] : ends[i]] for i in every])
+    starts = np.r_[0, np.cumsum((ends - begins)[every])[:-1]]
+    flag = np.zeros(codes.max() + 1, np.uint8)
+    for i in of:
+        mine = codes[begins[i] : ends[i]]
+        flag[mine] = 1
+        yield np.add.reduceat(flag[all_codes], starts, dtype=np.int32)
+        flag[mine] = 0
+
+
+def _tiles(batches: Iterator[pd.DataFrame], percent: int, whole: bool, at_most: int) -> Iterator[pd.DataFrame]:
+    """Pairs of different components, from rows sorted by tile.
 
     A tile holds some members of a bucket (role 0) and some members outside its largest
-    component (role 1), which meet. With `best`, each of the latter names only its likeliest
-    partner in each other component.
+    component (role 1), which meet. Sets of `at_most` shingles are small. With `whole`,
+    each of the latter names its likeliest partner in each other component: among small sets
+    if the threshold is reached, else if it may be. Without, all partners are named that may
+    reach it and are not both small.
     """
     chance = 1 / 16
 
@@ -177,21 +197,36 @@ def _tiles(batches: Iterator[pd.DataFrame], percent: int, best: bool) -> Iterato
         few, every = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
         if not len(few) or not len(every):
             return
+        is_small = n <= at_most
+
+        def pairs(i: int, at: np.ndarray, like: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if whole and len(at) > 1:
+                order = np.lexsort((node[at], -like))
+                at = at[order[np.unique(comp[at][order], return_index=True)[1]]]
+            return np.minimum(node[at], node[i]), np.maximum(node[at], node[i])
+
+        small, those = few[is_small[few]], every[is_small[every]]
+        if whole and len(small) and len(those):
+            place = np.cumsum(is_small) - 1
+            sets = [np.frombuffer(s, np.uint64) for s in tile["shingles"].to_numpy()[is_small]]
+            for i, both in zip(small, _overlaps(sets, place[small], place[those])):
+                union = n[those] + n[i] - both
+                found = (100 * both >= percent * union) & (comp[those] != comp[i])
+                if found.any():
+                    yield pairs(i, those[found], (both / union)[found])
+        if is_small.all():
+            return
         registers = unfolded(list(tile["small"]))
-        of_all, n_all, comp_all, node_all = registers[every], n[every], comp[every], node[every]
         for i in few:
-            small, great = np.minimum(n_all, n[i]), np.maximum(n_all, n[i])
-            at = np.flatnonzero((comp_all != comp[i]) & (100 * small >= percent * great))
+            least, most = np.minimum(n[every], n[i]), np.maximum(n[every], n[i])
+            near = (comp[every] != comp[i]) & (100 * least >= percent * most) & (most > at_most)
+            at, least = every[near], least[near]
             if not len(at):
                 continue
-            like = ((of_all[at] == registers[i]).mean(axis=1) - chance) / (1 - chance)
-            may = like >= percent / 100 - margin(small[at])
-            at, like = at[may], like[may]
-            if best and len(at) > 1:
-                order = np.lexsort((node_all[at], -like))
-                at = at[order[np.unique(comp_all[at][order], return_index=True)[1]]]
-            if len(at):
-                yield np.minimum(node_all[at], node[i]), np.maximum(node_all[at], node[i])
+            like = ((registers[at] == registers[i]).mean(axis=1) - chance) / (1 - chance)
+            may = like >= percent / 100 - margin(least)
+            if may.any():
+                yield pairs(i, at[may], like[may])
 
     def done(rows: pd.DataFrame) -> pd.DataFrame:
         tile = rows[["key", "i", "j"]].to_numpy()
@@ -206,33 +241,57 @@ def _tiles(batches: Iterator[pd.DataFrame], percent: int, best: bool) -> Iterato
         if not len(held):
             continue
         tile = held[["key", "i", "j"]].to_numpy()
-        whole = int(np.flatnonzero((tile == tile[-1]).all(axis=1))[0])  # the last tile may go on
-        if whole:
-            yield done(held.iloc[:whole])
-            held = held.iloc[whole:].reset_index(drop=True)
+        ended = int(np.flatnonzero((tile == tile[-1]).all(axis=1))[0])  # the last tile may go on
+        if ended:
+            yield done(held.iloc[:ended])
+            held = held.iloc[ended:].reset_index(drop=True)
     if held is not None and len(held):
         yield done(held)
 
 
-def apart(rows: DataFrame, classes: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Distinct pairs `a`, `b` of different components that share a bucket and may be alike.
-
-    Members outside the largest component of a bucket meet all members, in tiles of about
-    TILE by TILE rows, so no task holds a whole bucket. Buckets of one component are left out.
-    """
+def mixed_buckets(rows: DataFrame) -> DataFrame:
+    """The rows (`key`, `node`, `comp`) of buckets of several components, with the bucket's
+    largest one, `main`, and into how many tiles its members and those outside `main` go."""
     counts = rows.groupBy("key", "comp").agg(F.count("*").alias("of")).groupBy("key")
     counts = counts.agg(F.sum("of").alias("members"), F.max(F.struct("of", "comp")).alias("most")).where("most.of < members")
     tiles = lambda c: F.ceil(c / TILE).cast("int")
     counts = counts.select("key", F.col("most.comp").alias("main"), tiles(F.col("members")).alias("wide"), tiles(F.col("members") - F.col("most.of")).alias("high"))
-    small = classes.select("node", "n", "small")
-    mixed_rows = rows.join(counts, "key").join(small, "node")
+    return rows.join(counts, "key")
+
+
+def small_sets(nodes: DataFrame, classes: DataFrame, source: DataFrame, k: int) -> DataFrame:
+    """`node` and `shingles`, the set as it is, for the nodes with at most WHOLE shingles."""
+
+    @F.pandas_udf("binary")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, k).tobytes() for t in texts], dtype=object)
+
+    return texts_of(nodes, classes.where(F.col("n") <= WHOLE), source).select("node", shingles("text").alias("shingles"))
+
+
+def apart(rows: DataFrame, classes: DataFrame, sets: DataFrame | None, percent: int) -> DataFrame:
+    """Distinct pairs `a`, `b` of different components that share a bucket and may be alike.
+
+    Members outside the largest component of a bucket meet all members, in tiles of about
+    TILE by TILE rows, so no task holds a whole bucket. With `sets`, the small sets, each
+    names its likeliest partners; without, all partners but those of small sets.
+    """
+    members = classes.select("node", "n", "small")
+    if sets is None:
+        # what is not near the size of a larger set has met all it can be linked with
+        members = members.where(F.col("n") * 100 > WHOLE * percent).withColumn("shingles", F.lit(None).cast("binary"))
+        rows = rows.join(members.select("node"), "node", "left_semi")
+    else:
+        members = members.join(sets, "node", "left")
+    mixed_rows = mixed_buckets(rows).join(members, "node")
     at_j, at_i = F.pmod(F.xxhash64("node"), "wide").cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), "high").cast("int")
     place = lambda i, j, role: F.struct(i.alias("i"), j.alias("j"), F.lit(role).alias("role"))
     wide = F.transform(F.sequence(F.lit(0), F.col("high") - 1), lambda i: place(i, at_j, 0))
     high = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda j: place(at_i, j, 1))
     places = F.when(F.col("comp") == F.col("main"), wide).otherwise(F.concat(wide, high))
-    dealt = mixed_rows.select("key", "node", "comp", "n", "small", F.inline(places)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInPandas(lambda b: _tiles(b, percent, best), "a long, b long").distinct()
+    dealt = mixed_rows.select("key", "node", "comp", "n", "small", "shingles", F.inline(places)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    whole, at_most = sets is not None, WHOLE
+    return dealt.mapInPandas(lambda b: _tiles(b, percent, whole, at_most), "a long, b long").distinct()
 
 
 def _classes(source: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -283,9 +342,12 @@ def _groups(source: DataFrame, k: int, percent: int) -> DataFrame:
     if labels is not None:
         met = with_comp().where("least < node").join(labelled("least", "of_least"), "least", "left").where(F.col("comp") != F.coalesce("of_least", "least"))
     linked(may_link(met.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), classes, percent))
-    # What is still apart within a bucket: first the likeliest partners, then all that may be.
-    for best in (True, False):
-        linked(apart(with_comp(), classes, percent, best))
+    # What is still apart within a bucket: first the likeliest partners, which settles small
+    # sets, then all that may be.
+    sets = stored(small_sets(mixed_buckets(with_comp()).select("node").distinct(), classes, source, k), "sets")
+    linked(apart(with_comp(), classes, sets, percent))
+    forget(sets)
+    linked(apart(with_comp(), classes, None, percent))
     forget(rows)
 
     nodes = classes.select("digest", "id", "node")
@@ -362,6 +424,12 @@ def _compared(batches: Iterator[pd.DataFrame], k: int, percent: int) -> Iterator
         yield pd.DataFrame({"a": np.asarray(a, np.int64), "b": np.asarray(b, np.int64)})
 
 
+def texts_of(nodes: DataFrame, classes: DataFrame, source: DataFrame) -> DataFrame:
+    """`node` and one text of it; rows that repeat both key and text are alike."""
+    wanted = classes.join(nodes, "node").select("node", "id", "mark")
+    return source.join(wanted, ["id", "mark"]).groupBy("node").agg(F.first("text").alias("text"))
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs `a`, `b` whose full sets reach the threshold.
 
@@ -370,9 +438,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, k: int, p
     """
     pairs = stored(pairs, "pairs")
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / TOGETHER).cast("int").alias("groups"))
-    # one text per node: rows that repeat both key and text are alike
     ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = source.join(classes.join(ids, "node").select("node", "id", "mark"), ["id", "mark"]).groupBy("node").agg(F.first("text").alias("text"))
+    texts = texts_of(ids, classes, source)
     firsts = groups.join(texts, groups.a == texts.node).select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.lit(-1).cast("bigint").alias("b"), "text")
     others = pairs.join(groups, "a").join(texts, F.col("b") == texts.node)
     others = others.select("a", F.pmod(F.xxhash64("b"), "groups").cast("int").alias("salt"), "b", "text")

@@ -91,7 +91,9 @@ def test_texts_under_one_key(spark, swap):
     assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([(1, a), (1, b), (4, "else")])
 
 
-def test_small_tiles(spark, monkeypatch):
+@pytest.mark.parametrize("whole", [0, 40, 512])
+def test_small_tiles(spark, monkeypatch, whole):
+    monkeypatch.setattr(nd, "WHOLE", whole)
     monkeypatch.setattr(nd, "TILE", 3)
     monkeypatch.setattr(nd, "TOGETHER", 2)
     rows = corpus()
@@ -99,5 +101,39 @@ def test_small_tiles(spark, monkeypatch):
     assert sorted(map(tuple, nd.near_duplicates(df).collect())) == brute(rows, 5)
 
 
+def test_overlaps():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 30, rng.integers(1, 20))).astype(np.uint64) for _ in range(12)]
+    of, every = np.array([3, 0, 7]), np.array([1, 2, 3, 11])
+    got = [both.tolist() for both in nd._overlaps(sets, of, every)]
+    assert got == [[len(set(sets[i]) & set(sets[j])) for j in every] for i in of]
+
+
+def test_pairs_of_a_large_group(spark):
+    """Texts of a group that lie between the threshold and far below it: what leaves the tiles
+    grows with the texts, not with their pairs."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    base = rng.choices(words, k=150)
+    rows = []
+    for i in range(400):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 24)):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        rows.append((i, " ".join(copy)))
+    seen = []
+
+    def counted(pairs, *more, confirmed=nd.confirmed):
+        seen.append(pairs.count())
+        return confirmed(pairs, *more)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(nd, "confirmed", counted)
+        got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4)
+        got = sorted(map(tuple, got.collect()))
+    assert got == brute(rows, 4)
+    assert seen[2] + seen[3] <= 4 * len(rows)
+
+
 def test_sql_agrees(spark, agrees):
     agrees(op3_near_dedup(spark, "/root/testdata/sf0.001"), nd.oracle())
