@@ -34,6 +34,11 @@ class Universe:
         ids = spark.createDataFrame([(c,) for c in listed], f"{COMPANY} bigint")
         return cls(ids, literal_ids=listed)
 
+    @property
+    def wanted(self) -> dict[str, Sequence[int]]:
+        """The ids, where they are known beforehand, for sources that can leave out others."""
+        return {} if self.literal_ids is None else {COMPANY: self.literal_ids}
+
     def restrict(self, df: DataFrame) -> DataFrame:
         """Rows of the universe's companies."""
         if self.literal_ids:

@@ -50,7 +50,7 @@ class AuditorFeatures:
 
     def _scan(self, table: str, *columns: str) -> DataFrame:
         """Cleaned statement rows of the valid years."""
-        df = self.universe.restrict(self.sources.read(table, columns))
+        df = self.universe.restrict(self.sources.read(table, columns, only=self.universe.wanted))
         df = df.where(is_one_of_years(FY, self.as_on.valid_years)).withColumn(FY, strip(FY))
         return df.withColumn(STMT, strip_lower(STMT)) if STMT in columns else df
 

@@ -42,6 +42,7 @@ class DirectorsFeatures:
         history = self.sources.read(
             "director_history_details",
             [COMPANY, DIRECTOR, "designation", "appointment_original_date", "date_cessation"],
+            only=self.universe.wanted if of_universe else None,
         )
         if of_universe:
             history = self.universe.restrict(history)
@@ -69,7 +70,9 @@ class DirectorsFeatures:
         """The latest category of each director of a company."""
         rows = self.universe.restrict(
             self.sources.read(
-                "dir12_director_dtls", [COMPANY, "director_din", "t_dir_category", "appt_chng_desig_date"]
+                "dir12_director_dtls",
+                [COMPANY, "director_din", "t_dir_category", "appt_chng_desig_date"],
+                only=self.universe.wanted,
             )
         ).select(
             COMPANY,

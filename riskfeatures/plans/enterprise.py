@@ -121,7 +121,7 @@ class EfFinancialFeatures:
         self.as_on = AsOn(as_on_date, today or dt.date.today())
 
     def _scan(self, table: str, amounts: Sequence[str]) -> DataFrame:
-        df = self.sources.read(table, [*STATEMENT, "document_date", *amounts])
+        df = self.sources.read(table, [*STATEMENT, "document_date", *amounts], only=self.universe.wanted)
         return self.universe.restrict(df).where(is_one_of_years(FY, self.as_on.valid_years)).withColumn(FY, strip(FY))
 
     def source_frames(self) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -122,7 +122,7 @@ class FsFinancialFeatures:
 
     def _scan(self, table: str, row_id: str, amounts: Sequence[str]) -> DataFrame:
         """Statement rows of the as-on financial year only."""
-        df = self.sources.read(table, [*STATEMENT, row_id, "form_id", *amounts])
+        df = self.sources.read(table, [*STATEMENT, row_id, "form_id", *amounts], only=self.universe.wanted)
         return self.universe.restrict(df).where(is_one_of_years(FY, [self.as_on.financial_year])).withColumn(FY, strip(FY))
 
     def extract_financial(self, balance: DataFrame, profit: DataFrame, ratio: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ class LitigationFeatures:
         return self._report(counted, list(features))
 
     def _read(self, table: str, *columns: str) -> DataFrame:
-        return self.universe.restrict(self.sources.read(table, [COMPANY, *columns])).dropna(subset=[COMPANY])
+        return self.universe.restrict(self.sources.read(table, [COMPANY, *columns], only=self.universe.wanted)).dropna(subset=[COMPANY])
 
     # --- cases by court ---------------------------------------------------------------------
 

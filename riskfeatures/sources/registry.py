@@ -10,6 +10,16 @@ from ..functions.numbers import nan_to_null, to_num
 from .schemas import CONNECTION_OF, CONNECTIONS, TABLES
 
 
+IDS_PER_QUERY = 1000  # ids that one query of a database names
+
+
+def key_predicates(column: str, ids: Iterable[int], size: int = IDS_PER_QUERY) -> list[str]:
+    """Conditions that admit each id exactly once; a database answers each with a query of its own."""
+    listed = sorted({int(i) for i in ids})
+    chunks = [listed[i : i + size] for i in range(0, len(listed), size)]
+    return [f"{column} IN ({', '.join(map(str, chunk))})" for chunk in chunks] or ["1 = 0"]
+
+
 class Sources:
     """Resolves table names to DataFrames.
 
@@ -27,7 +37,7 @@ class Sources:
     def add_files(self, connection: str, directory: str, fmt: str = "parquet", suffix: str = "", **options) -> "Sources":
         """Tables as `{directory}/{table}{suffix}` in any format Spark reads."""
 
-        def read(table: str) -> DataFrame:
+        def read(table: str, only: Mapping[str, Sequence[int]]) -> DataFrame:
             reader = self.spark.read.format(fmt).options(**options)
             # text files carry no types: their values are read as text and cast afterwards
             if fmt == "json" or (fmt == "csv" and "header" not in options):
@@ -49,10 +59,16 @@ class Sources:
     ) -> "Sources":
         """Tables of a database. `partition` has for each table that is read its
         partitionColumn, lowerBound, upperBound and numPartitions, so that executors read
-        slices in parallel, or None for a table to be read by one task."""
+        slices in parallel, or None for a table to be read by one task. A read that names the
+        ids it wants is sliced by them instead, so that only their rows leave the database."""
         slices = dict(partition or {})
 
-        def read(table: str) -> DataFrame:
+        def read(table: str, only: Mapping[str, Sequence[int]]) -> DataFrame:
+            for column, ids in only.items():
+                options = self.jdbc_options(table, url, user, password, driver, schema, None, fetchsize)
+                place, name = options.pop("url"), options.pop("dbtable")
+                properties = {k: str(v) for k, v in options.items()}
+                return self.spark.read.jdbc(place, name, predicates=key_predicates(column, ids), properties=properties)
             if table not in slices:
                 raise ValueError(f"partition says nothing about {table!r}; give None to read it in one task")
             return self.spark.read.format("jdbc").options(
@@ -87,7 +103,11 @@ class Sources:
 
     # --- reading --------------------------------------------------------------------------
 
-    def raw(self, table: str) -> DataFrame:
+    def raw(self, table: str, only: Mapping[str, Sequence[int]] | None = None) -> DataFrame:
+        """A table as it is. only: the ids wanted of one column; a database leaves out others,
+        files and frames need not."""
+        if only and (len(only) > 1 or not set(only) <= set(TABLES.get(table, only))):
+            raise ValueError(f"ids can be named for one column of {table!r}, not for {sorted(only)}")
         if table in self._frames:
             return self._frames[table]
         connection = CONNECTION_OF.get(table)
@@ -95,7 +115,7 @@ class Sources:
             raise ValueError(f"unknown table {table!r}")
         if connection not in self._readers:
             raise ValueError(f"table {table!r} needs connection {connection!r}, which is not registered")
-        return self._readers[connection](table)
+        return self._readers[connection](table, only or {})
 
     def read(
         self,
@@ -106,6 +126,7 @@ class Sources:
         limit: int | None = None,
         strict: bool = False,
         observation: Observation | None = None,
+        only: Mapping[str, Sequence[int]] | None = None,
     ) -> DataFrame:
         """Columns of a table in their declared types.
 
@@ -113,8 +134,10 @@ class Sources:
         keys: a DataFrame of key columns; only rows whose key occurs in it remain.
         strict: a value that its declared type cannot hold fails the job instead of being null.
         observation: counts, in the pass that reads the rows, the values lost in each column.
+        only: ids wanted of one column, so that a database sends no others; the caller still
+        restricts the rows, since other sources may.
         """
-        df = self.raw(table)
+        df = self.raw(table, only)
         if table in TABLES:
             if observation is not None:
                 lost = lost_values(df, TABLES[table], columns)

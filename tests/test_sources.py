@@ -4,7 +4,9 @@ import pytest
 from helpers import rows_of
 from pyspark.sql import Observation
 
+from riskfeatures.operators.members import Universe
 from riskfeatures.sources import CONNECTION_OF, TABLES, Sources
+from riskfeatures.sources.registry import key_predicates
 
 
 @pytest.fixture
@@ -105,6 +107,42 @@ def test_jdbc_needs_a_word_on_every_table(spark):
         Sources.jdbc_options("director_master", "url", partition=slices("company_master_id"))
 
 
+def test_key_predicates_are_disjoint_and_whole(spark):
+    ids = [*range(2500), 7, 7, -3]
+    conditions = key_predicates("company_master_id", ids)
+    assert len(conditions) == 3
+    rows = spark.range(-10, 3000).withColumnRenamed("id", "company_master_id")
+    met = [rows.where(c).count() for c in conditions]
+    assert met == [1000, 1000, 501]
+    assert rows.where(" or ".join(f"({c})" for c in conditions)).count() == 2501
+    assert rows.where(" or ".join(key_predicates("company_master_id", []))).count() == 0
+    with pytest.raises(ValueError):
+        key_predicates("company_master_id", ["1) or (1 = 1"])
+
+
+def test_ids_reach_the_database(spark):
+    class Reader:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            asked.append((url, table, predicates, properties))
+            return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in TABLES[table].items()))
+
+    class Session:
+        read = Reader()
+
+    asked = []
+    wanted = Universe.of(spark, range(1500)).wanted
+    for table, columns in TABLES.items():
+        if "company_master_id" not in columns:
+            with pytest.raises(ValueError, match="one column"):
+                Sources(Session()).add_jdbc(CONNECTION_OF[table], "jdbc:mysql://host/db").read(table, only=wanted)
+            continue
+        Sources(Session()).add_jdbc(CONNECTION_OF[table], "jdbc:mysql://host/db", user="u").read(table, only=wanted)
+        url, name, predicates, properties = asked.pop()
+        assert (url, name, properties) == ("jdbc:mysql://host/db", table, {"fetchsize": "10000", "user": "u"})
+        assert predicates == key_predicates("company_master_id", range(1500)) and len(predicates) == 2
+    assert Universe.of(spark, spark.range(5)).wanted == {}
+
+
 def test_lost_values_are_counted_in_the_reading_pass(spark, ratings):
     seen = Observation()
     got = Sources(spark, {"credit_rating_data": ratings}).read("credit_rating_data", observation=seen)
