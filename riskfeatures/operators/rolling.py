@@ -13,9 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import columns, growth_rate, ieee_div, nan_to_null
-from .slices import GOES_ON, NEXT, OPENED, SLICE, SLICE_ROWS, sliced
+from .slices import GOES_ON, GROUP, GROUP_GOES_ON, GROUP_OPENED, NEXT, OPENED, SLICE, SLICE_ROWS, sliced
 
-_POS, _AHEAD, _TARGET, _EDGE = "__pos", "__ahead", "__target", "__edge"
+_POS, _AHEAD, _TARGET, _EDGE, _GROUP_EDGE, _BACK, _OPEN = "__pos", "__ahead", "__target", "__edge", "__group_edge", "__back", "__open"
 
 _AGGREGATES = {"sum": F.sum, "mean": F.avg}
 
@@ -46,43 +46,62 @@ def rolling_rows(
 
     `features` maps an output prefix to its value column; `order` must make rows of a key
     distinct. A key may have any number of rows: the last rows of a slice go to the next ones,
-    where the first rows are worked out together with them.
+    where the first rows are worked out together with them. Where slices are so small that they
+    come in groups, this happens among the rows of a group first, then from group to group.
     """
     if agg not in _AGGREGATES:
         raise ValueError(f"aggregate must be one of {sorted(_AGGREGATES)}, not {agg!r}")
     ordering = [F.asc_nulls_last(c) for c in order]
     depth = max(windows) - 1
+    found = sliced(df, keys, order, slice_rows)
+    in_groups = GROUP in found.columns
+    groups = [GROUP, _edge(GROUP_OPENED, GROUP_GOES_ON).alias(_GROUP_EDGE)] if in_groups else []
     # both branches below need the same columns, so they share one exchange
-    cut = sliced(df, keys, order, slice_rows).select(*df.columns, SLICE, _edge().alias(_EDGE))
-    opened, goes_on = F.col(_EDGE).isin(1, 3), F.col(_EDGE) >= 2
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*ordering)
-    rolled = _rolling_columns(features, windows, agg, in_slice)
-    local = cut.withColumns({**rolled, _POS: F.row_number().over(in_slice)})
-    reaches_back = opened & (F.col(_POS) <= depth)
-    alone = local.where(~reaches_back & F.col(_EDGE).isNotNull()).select(*df.columns, *rolled)
+    cut = found.select(*df.columns, SLICE, _edge().alias(_EDGE), *groups)
+
+    def rolled(spec) -> dict[str, Column]:
+        return _rolling_columns(features, windows, agg, spec)
+
+    added = list(rolled(Window.orderBy(*ordering)))
+
+    def settled(rows: DataFrame, part: str, edge: str) -> tuple[DataFrame, DataFrame]:
+        """Rows whose frame lies in their part, and all rows near a cut: the first ones of a
+        part, which are open, and the last ones, which may be in the frame of a later row."""
+        spec = Window.partitionBy(*keys, part).orderBy(*ordering)
+        placed = rows.withColumn(_POS, F.row_number().over(spec))
+        reaches_back = F.col(edge).isin(1, 3) & (F.col(_POS) <= depth)
+        alone = placed.withColumns(rolled(spec)).where(~reaches_back & F.col(edge).isNotNull())
+        near = placed.withColumn(_AHEAD, F.count(F.lit(1)).over(spec.rowsBetween(1, depth)) if depth else F.lit(0))
+        near = near.withColumns({_BACK: reaches_back, _AHEAD: (F.col(edge) >= 2) & (F.col(_AHEAD) < depth)})
+        return alone, near.where(F.col(_BACK) | F.col(_AHEAD))
+
+    alone, near = settled(cut, SLICE, _EDGE)
+    if in_groups:
+        alone = alone.where(F.col(GROUP).isNotNull() & F.col(_GROUP_EDGE).isNotNull())
+    out = alone.select(*df.columns, *added)
     if not depth:
-        return alone
-
-    # Rows near a cut, which are few: a slice's first ones, and its last ones sent ahead. Each
-    # slice has a row at least, so as many slices ahead as rows in a frame are enough.
-    near = cut.withColumns(
-        {
-            _POS: F.row_number().over(in_slice),
-            _AHEAD: F.count(F.lit(1)).over(in_slice.rowsBetween(1, depth)),
-        }
-    )
+        return out
+    part = SLICE
+    if in_groups:
+        # the same once more among the rows near a cut, with groups for slices
+        near = near.withColumnRenamed(_BACK, _OPEN).select(*df.columns, GROUP, _GROUP_EDGE, _OPEN)
+        alone, near = settled(near, GROUP, _GROUP_EDGE)
+        out = out.unionByName(alone.where(_OPEN).select(*df.columns, *added))
+        part = GROUP
+
+    # Each slice has a row at least, so as many slices ahead as rows in a frame are enough.
     none = F.array().cast("array<int>")
-    stay = F.when(reaches_back, F.array(SLICE)).otherwise(none)
-    ahead = F.when(goes_on & (F.col(_AHEAD) < depth), F.sequence(F.col(SLICE) + 1, F.col(SLICE) + depth)).otherwise(none)
+    stay = F.when(F.col(_BACK), F.array(part)).otherwise(none)
+    ahead = F.when(F.col(_AHEAD), F.sequence(F.col(part) + 1, F.col(part) + depth)).otherwise(none)
     sent = near.withColumn(_TARGET, F.explode(F.concat(stay, ahead)))
     in_target = Window.partitionBy(*keys, _TARGET).orderBy(*ordering)
-    repaired = sent.withColumns(_rolling_columns(features, windows, agg, in_target))
-    return alone.unionByName(repaired.where(F.col(_TARGET) == F.col(SLICE)).select(*df.columns, *rolled))
+    repaired = sent.withColumns(rolled(in_target))
+    return out.unionByName(repaired.where(F.col(_TARGET) == F.col(part)).select(*df.columns, *added))
 
 
-def _edge() -> Column:
+def _edge(opened: str = OPENED, goes_on: str = GOES_ON) -> Column:
     """1: the key has an earlier slice, 2: a later one, 3: both, 0: none."""
-    return F.col(OPENED).cast("int") + 2 * F.col(GOES_ON).cast("int")
+    return F.col(opened).cast("int") + 2 * F.col(goes_on).cast("int")
 
 
 def history_names(features: Sequence[str], growth: Sequence[str] = (), n: int = 4) -> list[str]:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 from helpers import rows_of
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from riskfeatures.functions.dates import date_lit
 from riskfeatures.operators.answers import answer_scores, answer_scores_by_year
@@ -17,6 +17,7 @@ from riskfeatures.operators.members import (
 )
 from riskfeatures.operators.key_filter import key_bits, may_be_among
 from riskfeatures.operators.rolling import history_features, next_event_date, rolling_rows, running_totals
+from riskfeatures.operators import slices
 from riskfeatures.operators.slices import sliced
 
 
@@ -157,6 +158,39 @@ def test_slices_are_bounded_and_the_same_in_any_partitions(spark):
     assert told and all(begins[r["__slice"] + 1] == r["i"] for r in told)
 
 
+@pytest.mark.parametrize("slice_rows, group_rows", [(1, 7), (3, 20), (3, 4), (5, 60)])
+def test_small_slices_come_in_groups(spark, monkeypatch, slice_rows, group_rows):
+    """Only the groups' cuts go to every row, and results are those of whole keys."""
+    monkeypatch.setattr(slices, "GROUP_ROWS", group_rows)
+    rng = random.Random(slice_rows * group_rows)
+    data = [(rng.choice(["hot", "hot", "hot", "b", None]), rng.choice([None, *range(30)]), i, rng.choice([None, 0.5, 1.0])) for i in range(400)]
+    df = spark.createDataFrame(data, "k string, d int, i int, v double").repartition(5)
+    w = Window.partitionBy("k").orderBy(F.asc_nulls_last("d"), "i")
+    rolled = {f"m_{n}yrs": F.when(F.count("v").over(w.rowsBetween(1 - n, 0)) == n, F.sum("v").over(w.rowsBetween(1 - n, 0))) for n in (1, 2, 3, 4)}
+    assert rows_of(rolling_rows(df, ["k"], ["d", "i"], {"m": "v"}, "sum", slice_rows=slice_rows)) == rows_of(df.withColumns(rolled))
+    total = df.withColumn("t", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows_of(running_totals(df, ["k"], ["d", "i"], {"t": "v"}, slice_rows=slice_rows)) == rows_of(total)
+    # rows alike in key and order lie in one slice, and every row is told where the next one begins
+    found = sliced(df, ["k"], ["d"], slice_rows)
+    assert found.select("__slice_group").distinct().count() > 3
+    rows = found.groupBy("k", "__slice").agg(F.min("d").alias("lo"), F.max(F.col("__next.o0")).alias("next"), F.max("__goes_on").alias("on")).collect()
+    assert sum(r.on for r in rows) > 3
+    for k in ("hot", "b", None):
+        own = sorted((r for r in rows if r.k == k), key=lambda r: r["__slice"])
+        for one, following in zip(own, [*own[1:], None]):
+            assert one.on == (following is not None) and (following is None or one.next == following.lo)
+    places = found.groupBy("k", "d").agg(F.count_distinct("__slice").alias("n"))
+    assert places.where("n > 1").count() == 0
+
+
+def test_the_cuts_sent_to_every_row_are_few(spark):
+    """One for each group of slices, however small the slices are."""
+    df = spark.range(300_000).selectExpr("id % 5 as k", "id as i")
+    one = sliced(df, ["k"], ["i"], 3)
+    assert one.select("__slice").distinct().count() > 70_000
+    assert one.select("__slice_group").distinct().count() < 20
+
+
 def test_running_totals(spark):
     df = spark.createDataFrame([(1, i, i) for i in (1, 2, 3)], "k int, i int, n int")
     assert rows_of(running_totals(df, ["k"], ["i"], {"t": "n"}), "i", "t") == [(1, 1), (2, 3), (3, 6)]
