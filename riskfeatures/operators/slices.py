@@ -48,16 +48,17 @@ def _falls_on_one_in(rows: int, names: Sequence[str]) -> Column:
 
 
 def cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int) -> DataFrame:
-    """One row with the sorted array of the places at which slices begin.
+    """One row with the sorted array of the places at which slices begin, and the steps of a
+    search among so many.
 
     The hash is of whole rows, so that this reads the same columns of df as the windows do and
     Spark runs their common exchanges once.
     """
     hashed = [c for c, dtype in df.dtypes if "map<" not in dtype and dtype != "variant"]
     chosen = df.where(_falls_on_one_in(slice_rows, hashed))
-    return chosen.agg(
-        F.slice(F.sort_array(F.collect_set(_place(keys, order))), 1, 2 * _STEPS[0] - 1).alias("cuts")
-    )
+    places = F.slice(F.sort_array(F.collect_set(_place(keys, order))), 1, 2 * _STEPS[0] - 1)
+    steps = F.filter(F.array(*[F.lit(s) for s in _STEPS]), lambda step: step <= F.size("cuts"))
+    return chosen.agg(places.alias("cuts")).select(F.struct("cuts", steps.alias("steps")).alias("cuts"))
 
 
 def _searched(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int) -> DataFrame:
@@ -66,13 +67,14 @@ def _searched(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_ro
     # The cuts are the loop's own variable, since a subquery may not stand in a lambda. They must
     # not become a column of rows that are handed on: the generator keeps the optimizer from
     # working them out together with the columns of df, so it puts them into the loop instead.
-    start = F.struct(F.lit(0).alias("found"), F.col(_CUTS).alias("cuts"), _place(keys, order).alias("place"))
+    def search(known: Column) -> Column:
+        start = F.struct(F.lit(0).alias("found"), known["cuts"].alias("cuts"), _place(keys, order).alias("place"))
+        return F.aggregate(known["steps"], start, halve, found)
 
     def halve(loop: Column, step: Column) -> Column:
         tried = F.get(loop["cuts"], loop["found"] + step - 1) <= loop["place"]
         further = F.when(tried, loop["found"] + step).otherwise(loop["found"])
-        moved = F.struct(further.alias("found"), loop["cuts"].alias("cuts"), loop["place"].alias("place"))
-        return F.when(step > F.size(loop["cuts"]), loop).otherwise(moved)
+        return F.struct(further.alias("found"), loop["cuts"].alias("cuts"), loop["place"].alias("place"))
 
     def found(loop: Column) -> Column:
         last, following = F.get(loop["cuts"], loop["found"] - 1), F.get(loop["cuts"], loop["found"])
@@ -84,11 +86,10 @@ def _searched(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_ro
             F.when(same(following), following["at"]).alias("next"),
         )
 
-    steps = F.array(*[F.lit(s) for s in _STEPS])
     return (
         df.select(*df.columns, F.explode(F.array(F.lit(1))).alias(_ONE))
         .withColumn(_CUTS, cuts(df, keys, order, slice_rows).scalar())
-        .select(*df.columns, F.aggregate(steps, start, halve, found).alias(_FOUND))
+        .select(*df.columns, F.get(F.transform(F.array(F.col(_CUTS)), search), F.lit(0)).alias(_FOUND))
     )
 
 
