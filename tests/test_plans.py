@@ -168,3 +168,20 @@ def test_dependent_reads_pass_few_rows(spark):
     assert 2 <= plan.liable_directors(directors).count() <= 20
     assert 2 <= plan.rating_periods(boards).count() <= 50
     assert rows_of(plan.is_dir_in_d_rated_company()) == [(7, 1)]
+
+
+def test_feature_queries_run_in_many_small_parts(spark):
+    import __spark_entry__
+
+    named = __spark_entry__.queries()
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    df = named["criminal_cases_past"](spark, "/root/testdata/sf0.001")
+    # as dealt, whatever the number of parts that the session asks for
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(company_master_id" in plan and ", 512)" in plan and ", 8)" not in plan
+    assert spark.conf.get(size) != before
+    # the operators on texts and others run with the session's own
+    named["op10_spotsigs"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(size) == before
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
