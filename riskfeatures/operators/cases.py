@@ -56,27 +56,25 @@ def _open(cases, group, features, formula) -> DataFrame:
 
 
 def open_daily(
-    cases: DataFrame, group: Sequence[str], start: dt.date, end: dt.date, out: str
+    cases: DataFrame, group: Sequence[str], start: dt.date, end: dt.date, out: str, text: bool = False
 ) -> DataFrame:
     """Open cases per group and day: every day from start to end, and earlier event days.
 
     Running totals are taken over the days on which something happened; the quiet days
     after each are then filled in by repeating its total, so the dense series is neither
-    shuffled nor sorted.
+    shuffled nor sorted. The cases are read once. `text` gives the days as text, cut from
+    one list of all days, which is cheaper than writing out each of them.
     """
     per_day = [*group, "as_on_date"]
-    filed = cases.groupBy(*group, F.col(FILED).alias("as_on_date")).agg(F.count(F.lit(1)).alias("change"))
-    closed = cases.groupBy(*group, F.col(DISPOSED).alias("as_on_date")).agg(
-        (-F.count(F.lit(1))).alias("change")
-    )
-    opening = (
-        cases.select(*group).distinct()
-        .select(*group, date_lit(start).alias("as_on_date"), F.lit(0).cast("bigint").alias("change"))
-    )
+
+    def on(day: Column, change: int) -> Column:
+        return F.struct(day.cast("date").alias("as_on_date"), F.lit(change).cast("bigint").alias("change"))
+
+    upto_end = lambda c: F.when(F.col(c) <= date_lit(end), F.col(c))
+    opening, filed, closed = on(date_lit(start), 0), on(upto_end(FILED), 1), on(upto_end(DISPOSED), -1)
     events = (
-        filed.unionByName(closed)
-        .where(F.col("as_on_date") <= date_lit(end))
-        .unionByName(opening)
+        cases.select(*group, F.inline(F.array(opening, filed, closed)))
+        .where(F.col("as_on_date").isNotNull())
         .groupBy(*per_day)
         .agg(F.sum("change").alias("change"))
     )
@@ -86,8 +84,13 @@ def open_daily(
         F.sum("change").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(out),
         F.coalesce(F.lead("as_on_date").over(w), date_lit(end + dt.timedelta(days=1))).alias("__next"),
     )
-    last = F.when(F.col("as_on_date") < date_lit(start), F.col("as_on_date")).otherwise(
-        F.date_sub("__next", 1)
-    )
-    days = F.sequence("as_on_date", last)
+    early = F.col("as_on_date") < date_lit(start)
+    if not text:
+        days = F.sequence("as_on_date", F.when(early, F.col("as_on_date")).otherwise(F.date_sub("__next", 1)))
+    else:
+        # a constant, which Spark splits once
+        listed = ",".join(str(start + dt.timedelta(days=i)) for i in range((end - start).days + 1))
+        days = F.when(early, F.array(F.col("as_on_date").cast("string"))).otherwise(
+            F.slice(F.split(F.lit(listed), ","), F.date_diff("as_on_date", date_lit(start)) + 1, F.date_diff("__next", "as_on_date"))
+        )
     return running.select(*group, F.explode(days).alias("as_on_date"), out)

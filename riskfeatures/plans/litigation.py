@@ -173,9 +173,9 @@ class LitigationFeatures:
     def get_check_bounce_cases(self) -> DataFrame:
         return self._count(self.court_case_records().where("is_cheque"), {"no_of_check_bounce_cases": None})
 
-    def daily_series(self, records: DataFrame, name: str) -> DataFrame:
+    def daily_series(self, records: DataFrame, name: str, text: bool = False) -> DataFrame:
         """Open cases on every day from the series start to today."""
-        return open_daily(records, [COMPANY], self.series_start, self.as_on.today, name)
+        return open_daily(records, [COMPANY], self.series_start, self.as_on.today, name, text)
 
     def found(self) -> list[DataFrame]:
         """The counts kind by kind, of companies with cases of the kind."""

@@ -587,7 +587,7 @@ select company_master_id, cast(day as varchar) as as_on_date,
 from per_day""")
 def bifr_daily_series(spark, d):
     plan = _plan(LitigationFeatures, spark, d, "yml_bifr_litigation_data", series_start=SERIES_START)
-    return plan.daily_series(plan.bifr_case_records(), "open_cases")
+    return plan.daily_series(plan.bifr_case_records(), "open_cases", text=True)
 
 
 @query(_court_scorecard_sql(True))

@@ -484,7 +484,7 @@ select company_master_id, cast(day as varchar) as as_on_date,
   cast(sum(n) over (partition by company_master_id order by day rows between unbounded preceding and current row) as bigint) as open_cases
 from per_day""")
 def running_total_daily(spark, d):
-    return open_daily(_cases(spark, d), [COMPANY], SERIES_START, TODAY, "open_cases")
+    return open_daily(_cases(spark, d), [COMPANY], SERIES_START, TODAY, "open_cases", text=True)
 
 
 # --- joins and sets -------------------------------------------------------------------------

@@ -338,6 +338,15 @@ def test_daily_series_agrees_with_single_dates(spark):
     assert max(d for _, d in by_day) == day(40)
 
 
+def test_daily_series_as_text_and_from_one_pass(spark):
+    cases = _cases(spark)
+    series = open_daily(cases, ["k"], day(0), day(40), "n")
+    as_text = open_daily(cases, ["k"], day(0), day(40), "n", text=True)
+    assert rows_of(as_text) == sorted((k, str(d), n) for k, d, n in rows_of(series))
+    # the cases are evaluated once for filings, disposals and the first day
+    assert series._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 def test_open_now_and_conditions(spark):
     cases = spark.createDataFrame(
         [(1, day(0), None, 1), (1, day(0), day(3), 1), (1, day(0), None, 0), (2, day(0), None, 0)],
