@@ -21,6 +21,7 @@ SAMPLE = 2048  # labelled texts at most, which bounds the model and what the dri
 RANK = 32
 NEIGHBOURS = 15
 BLOCK = 128
+TERM_BLOCK = 512
 
 
 def _classes() -> bytes:
@@ -81,8 +82,7 @@ class Model:
     labels: np.ndarray
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        v = (counts * self.weights) @ self.axes
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        return _projected(counts * self.weights, self.axes)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Votes for label 1 among the nearest labelled vectors, by their similarity."""
@@ -98,18 +98,39 @@ class Model:
         return np.concatenate(out) if out else np.empty(0)
 
 
+def _projected(weighted: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    v = weighted @ axes
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """The places of the weights that are not zero, then these weights."""
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint16).tobytes() + counts[at].tobytes()
+
+
+def unpack(data: bytes, out: np.ndarray) -> None:
+    n = len(data) // 6
+    out[np.frombuffer(data, np.uint16, n)] = np.frombuffer(data, np.float32, n, 2 * n)
+
+
 def fit(counts: np.ndarray, labels: np.ndarray) -> Model:
-    """Weights by rarity, axes and labelled vectors of a sample of texts."""
+    """Weights by rarity, axes and labelled vectors of a sample of texts.
+
+    This runs on the driver, so `counts`, the largest part, is weighted in place.
+    """
     if not len(labels):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels)
     seen = (counts > 0).sum(axis=0)
     weights = (1 + np.log((1 + len(counts)) / (1 + seen))).astype(np.float32)
-    a = counts * weights
-    values, left = np.linalg.eigh((a @ a.T).astype(np.float64))
+    counts *= weights
+    values, left = np.linalg.eigh((counts @ counts.T).astype(np.float64))
     top = [i for i in np.argsort(-values)[:RANK] if values[i] > 1e-9 * max(values[-1], 1e-9)]
-    axes = ((a.T @ left[:, top]) / np.sqrt(values[top])).astype(np.float32)
-    model = Model(weights, axes, np.zeros((0, axes.shape[1]), np.float32), labels)
-    return Model(weights, axes, model.latent(counts).astype(np.float32), labels)
+    left = left[:, top]
+    # in double precision, some terms at a time
+    axes = np.concatenate([counts[:, lo : lo + TERM_BLOCK].T @ left for lo in range(0, TERMS, TERM_BLOCK)])
+    axes = (axes / np.sqrt(values[top])).astype(np.float32)
+    return Model(weights, axes, _projected(counts, axes).astype(np.float32), labels)
 
 
 def held_out(key: Column) -> Column:
@@ -132,13 +153,15 @@ def learn(df: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 
     @F.pandas_udf("binary")
     def counted(texts: pd.Series) -> pd.Series:
-        return pd.Series([terms(t).tobytes() for t in texts])
+        return pd.Series([packed(terms(t)) for t in texts])
 
     # at most `sample` rows of two numbers, which is what makes this broadcast safe
     texts = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).join(F.broadcast(chosen), "k")
     texts = texts.groupBy("k", "label").agg(F.min("t").alias("t"))
     rows = sorted(texts.select("k", "label", counted("t").alias("c")).collect(), key=lambda r: r["k"])
-    counts = np.stack([np.frombuffer(r["c"], np.float32) for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
+    counts = np.zeros((len(rows), TERMS), np.float32)
+    for r, out in zip(rows, counts):
+        unpack(r["c"], out)
     return fit(counts, np.asarray([r["label"] for r in rows], np.float64))
 
 

@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from riskfeatures.llm import quality
@@ -26,7 +27,6 @@ def test_held_out_accuracy(spark):
 
 def test_blocks_are_exact():
     texts = ["The cat sat on the mat.", "X!! Y!! Z!!", "", None, "a a a a a a", "word " * 5_000]
-    import numpy as np
 
     model = quality.fit(np.stack([quality.terms(t) for t in texts]), np.array([1, 0, 1, 1, 0, 0], float))
     together = model.scores(texts * 60)
@@ -51,3 +51,23 @@ def test_repeated_keys(spark):
     again = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string")).repartition(7)
     scores = lambda learnt: [tuple(r) for r in quality.score_quality(docs, learnt).orderBy("doc_id").collect()]
     assert scores(quality.learn(again, labels, sample=8)) == scores(quality.learn(docs, labels, sample=8))
+
+
+def test_the_driver_holds_the_sample_once():
+    import tracemalloc
+
+    texts = [f"{i % 7} words of text number {i} " * (1 + i % 5) for i in range(300)]
+    counts = np.stack([quality.terms(t) for t in texts])
+    unpacked = np.zeros_like(counts)
+    for t, out in zip(counts, unpacked):
+        data = quality.packed(t)
+        assert len(data) < t.nbytes / 4
+        quality.unpack(data, out)
+    assert (unpacked == counts).all()
+    tracemalloc.start()
+    model = quality.fit(unpacked, np.arange(300) % 2.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # neither a weighted copy nor one in double precision
+    assert peak < counts.nbytes
+    assert (model.vectors == model.latent(counts).astype(np.float32)).all()
