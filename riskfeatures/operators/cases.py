@@ -12,6 +12,12 @@ from ..functions.dates import date_lit
 FILED, DISPOSED = "filed", "disposed"
 
 
+def worked_out(df: DataFrame) -> DataFrame:
+    """df, whose columns are worked out once for each row: a filter on them stays above and does
+    not repeat their expressions, as it would below a projection."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def dedup_cases(
     df: DataFrame,
     keys: Sequence[str],

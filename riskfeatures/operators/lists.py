@@ -12,7 +12,7 @@ def explode_ids(df: DataFrame, ids: str, out: str, strict: bool = False) -> Data
 
     Blanks around an id are removed too, unless `strict`.
     """
-    parts = F.split(F.regexp_replace(F.col(ids), "['\"]", ""), ",")
+    parts = F.split(F.replace(F.replace(F.col(ids), F.lit("'")), F.lit('"')), ",")
     one = df.withColumn(out, F.explode(parts))
     if not strict:
         one = one.withColumn(out, strip(out))

@@ -22,7 +22,7 @@ from ..functions.dates import (
     parse_iso,
 )
 from ..functions.text import strip_lower
-from ..operators.cases import DISPOSED, FILED, dedup_cases, open_as_of, open_daily, open_now
+from ..operators.cases import DISPOSED, FILED, dedup_cases, open_as_of, open_daily, open_now, worked_out
 from ..operators.members import COMPANY, Universe, side_by_side
 from ..sources.registry import Sources
 
@@ -71,6 +71,7 @@ class LitigationFeatures:
     def _sane(self, df: DataFrame, ordered: Column | None, now_ordered: Column | None) -> DataFrame:
         """Rows with sane dates. `ordered` is the order rule of the past view; `now_ordered`
         that of the current view, in which a case without a disposal is always valid."""
+        df = worked_out(df)  # the tests name the dates many times, the texts are parsed once
         sane = is_sane(FILED, self.as_on.today) & is_sane(DISPOSED, self.as_on.today)
         if self.as_on.is_past:
             return df.where(sane & ordered)

@@ -27,6 +27,16 @@ def test_strip_removes_every_white_space(spark, raw):
     assert one(spark, T.strip_upper("x"), raw) == "AB C"
 
 
+@pytest.mark.parametrize("raw", ["", " ", " \t", "a", " a ", "~!", "\x7fa ", " \x1fa", "a\x85", "é ", " a é\u3000", "a\u00a0 ", None])
+def test_strip_equals_trimming_the_whole_set(spark, raw):
+    assert one(spark, T.strip("x"), raw) == (None if raw is None else raw.strip())
+
+
+def test_strip_looks_at_the_ends_of_plain_texts_alone(spark):
+    # the set, in which each character of a text would be looked up, is needed for other texts only
+    assert T.strip("x")._jc.toString().upper().startswith("CASE WHEN")
+
+
 def test_contains_is_false_for_null(spark):
     assert one(spark, T.contains("x", "nominee"), None) is False
     assert one(spark, T.contains("x", "nominee"), "nominee director") is True

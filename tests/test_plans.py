@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskfeatures import AuditorFeatures, DirectorsFeatures, LitigationFeatures, Sources, Universe
 from riskfeatures.operators.key_filter import key_bits
 from riskfeatures.operators.rolling import rolling_rows
+from riskfeatures.session import tune, tune_finely
 from riskfeatures.sources import TABLES
 from riskfeatures.workload import views
 
@@ -34,6 +35,19 @@ def empty_sources(spark, tmp_path_factory):
     return sources
 
 
+def test_fine_tuning_ends_with_the_next_tune(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit, None)
+    assert int(tune_finely(spark).conf.get(limit)) <= 8000
+    assert tune(spark).conf.get(limit, None) == before
+
+
+def test_case_dates_are_parsed_once(spark, empty_sources):
+    plan = LitigationFeatures(empty_sources, Universe.of(spark, [1, 2]), AS_ON, TODAY)
+    for cases, pattern, tables in ((plan.court_case_records(), "regexp_extract", 2), (plan.nclt_case_records(), "regexp_replace", 1)):
+        assert cases._jdf.queryExecution().optimizedPlan().toString().count(pattern) == tables
+
+
 def test_years_and_columns_reach_the_statement_scans(spark, empty_sources):
     plan = physical(AuditorFeatures(empty_sources, [1, 2], AS_ON, TODAY).caro_scores())
     assert "GreaterThanOrEqual(financial_year,2016-2017)" in plan and "LessThan(financial_year,2019-2021)" in plan
