@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -108,15 +109,20 @@ class Tokenizers:
             ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
         self._a = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._b = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
-        self.a_bytes = {i: t for t, i in ranks.items()}
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
         self.b_bytes = []
         for i in range(self._b.get_piece_size()):
             piece = self._b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[1:-1], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode())
         if len(self.b_bytes) > B_IDS:
             raise ValueError(f"more than {B_IDS} ids on the second side")
-        self.a_names = {i: str(i) for i in self.a_bytes}
-        self.b_names = [str(i) for i in range(len(self.b_bytes))]
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        # each id as in the text of groups: followed by another one of its side, and as the last
+        self.names = [f"{i}{after}" for i in range(len(self.a_bytes)) for after in ",|"]
+        self.b_names = len(self.names)
+        self.names += [f"{i}{after}" for i in range(len(self.b_bytes)) for after in ",;"]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of both, or none where they do not spell the same bytes."""
@@ -141,13 +147,17 @@ def _tokenizers(*paths: str) -> Tokenizers:
     return _LOADED[paths]
 
 
-def _group_text(a: list[int], b: list[int], a_ends: np.ndarray, b_ends: np.ndarray, t: Tokenizers) -> str:
-    out, i, j = [], 0, 0
-    a_names, b_names = list(map(t.a_names.__getitem__, a)), list(map(t.b_names.__getitem__, b))
-    for i_next, j_next in zip(a_ends.tolist(), b_ends.tolist()):
-        out.append(f"{','.join(a_names[i:i_next])}|{','.join(b_names[j:j_next])}")
-        i, j = i_next, j_next
-    return ";".join(out)
+def _written(a_ids: np.ndarray, b_ids: np.ndarray, a_to: np.ndarray, b_to: np.ndarray, t: Tokenizers) -> np.ndarray:
+    """The tokens of all groups in the order of the groups' text, each as the index of its name
+    with what follows it. `a_to` and `b_to` are where the groups end."""
+    a_size, b_size = np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)
+    a_last, b_last = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
+    a_last[a_to - 1] = b_last[b_to - 1] = 1
+    # a group's A tokens stand after the B tokens of the groups before it, its B tokens after its A tokens
+    at = np.empty(len(a_ids) + len(b_ids), np.int64)
+    at[np.arange(len(a_ids)) + np.repeat(b_to - b_size, a_size)] = a_ids * 2 + a_last
+    at[np.arange(len(b_ids)) + np.repeat(a_to, b_size)] = t.b_names + b_ids * 2 + b_last
+    return at
 
 
 _ALIGNED = pa.schema(
@@ -165,11 +175,9 @@ def _aligned(ids: list, texts: list[str | None], t: Tokenizers, piece: int) -> p
     """Groups, and different id pairs with the number of their links, for a few texts."""
     encoded = list(t.encode([x or "" for x in texts]))
     a_count, b_count = (np.array([len(e[side]) for e in encoded], np.int64) for side in (0, 1))
-    a_ids, b_ids = (np.array([i for e in encoded for i in e[side]], np.int64) for side in (0, 1))
-    a_size = {i: len(x) for i, x in t.a_bytes.items()}
-    b_size = [len(x) for x in t.b_bytes]
-    a_ends = np.cumsum(np.array([a_size[i] for i in a_ids.tolist()], np.int64))
-    b_ends = np.cumsum(np.array([b_size[i] for i in b_ids.tolist()], np.int64))
+    a_ids, b_ids = (np.fromiter(chain.from_iterable(e[side] for e in encoded), np.int64) for side in (0, 1))
+    del encoded
+    a_ends, b_ends = np.cumsum(t.a_size[a_ids]), np.cumsum(t.b_size[b_ids])
     # all texts end at a common end, so overlaps of one never reach into the next
     a_of, b_of, last = overlaps(a_ends, b_ends, piece)
     doc = np.repeat(np.arange(len(texts)), a_count)
@@ -177,13 +185,12 @@ def _aligned(ids: list, texts: list[str | None], t: Tokenizers, piece: int) -> p
     closing = np.flatnonzero(last)
     n_links = np.bincount(doc_of, minlength=len(texts))
     n_groups = np.bincount(doc_of[closing], minlength=len(texts))
-    a_from, b_from = np.cumsum(a_count) - a_count, np.cumsum(b_count) - b_count
-    closed_to = np.cumsum(n_groups)
-    digests = []
-    for d, (a, b) in enumerate(encoded):
-        closed = closing[closed_to[d] - n_groups[d] : closed_to[d]]
-        text = _group_text(a, b, a_of[closed] + 1 - a_from[d], b_of[closed] + 1 - b_from[d], t)
-        digests.append(hashlib.sha256(text.encode()).hexdigest() if a else "")
+    written = _written(a_ids, b_ids, a_of[closing] + 1, b_of[closing] + 1, t)
+    to, digests = np.cumsum(a_count + b_count), []
+    for lo, hi in zip((to - a_count - b_count).tolist(), to.tolist()):
+        # the last token ends the text, without what would follow
+        text = "".join(map(t.names.__getitem__, written[lo:hi].tolist()))[:-1]
+        digests.append(hashlib.sha256(text.encode()).hexdigest() if lo < hi else "")
     pair = (doc_of << 32) | (a_ids[a_of] * B_IDS + b_ids[b_of])
     different, times = np.unique(pair, return_counts=True)
     offsets = np.searchsorted(different, np.arange(len(texts) + 1) << 32)

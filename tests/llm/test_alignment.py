@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -119,6 +120,27 @@ def test_same_ids_as_the_other_library_on_odd_texts():
         assert a in ([], A.encode(" " + text, add_special_tokens=False).ids)
 
 
+def test_groups_are_written_without_a_step_for_each():
+    """The digests of a batch take a few calls a text, however many groups the texts have."""
+    t = alignment.Tokenizers(*FILES)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["naïve", "中文", "tokens", "un\nlike", "12345", "x"], k=2_000))) for i in range(3)] + [(3, None)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        got = alignment._aligned([d for d, _ in rows], [x for _, x in rows], t, alignment.PIECE).to_pydict()
+    finally:
+        sys.setprofile(None)
+    want = brute(rows)
+    assert [tuple(got[c][i] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")) for i in range(4)] == [(*r[1:5], r[7]) for r in want]
+    assert calls < sum(got["n_groups"]) / 4
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.align(spark, docs, *FILES).collect() == []
