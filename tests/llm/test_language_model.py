@@ -141,3 +141,78 @@ def test_row_sums_and_ids():
     assert model.ids([b"b", b"other", b"a", b""]).tolist() == [2, -1 - lm.zlib.crc32(b"other"), 0, 1]
     # the features of a token are rows, the tokens of a feature lie together
     assert model.contexts(np.arange(9), np.arange(9)).T.flags.c_contiguous
+
+
+def learnt(pairs, head):
+    """A model of texts of two words, whose words beyond the `head` most frequent share leaves."""
+    counts = Counter(w for pair in pairs for w in (*pair, b""))
+    ranked = sorted(counts, key=lambda w: (-counts[w], w))
+    beyond = ranked[head:]
+    shared = np.zeros(lm.SHARED)
+    for w in beyond:
+        shared[zlib.crc32(w) % lm.SHARED] += counts[w] + 0.5
+    model = lm.Model(ranked[:head], [counts[w] for w in ranked[:head]], sum(counts.values()), len(counts), shared if beyond else None)
+    squares, seen = ([np.zeros(len(t), np.float32) for t in model.tables] for _ in range(2))
+    ids = model.ids([w for pair in pairs for w in (*pair, b"")])
+    model.train(ids, np.arange(len(ids)) % 3, squares, seen)
+    return model, counts, beyond
+
+
+def log_after(model, before, words):
+    texts = [[*before, w] for w in words]
+    return np.array([model.logs(model.ids(t), np.arange(len(t)))[-1] for t in texts])
+
+
+@pytest.mark.parametrize("head", [1 << 18, 1900])
+def test_every_word_depends_on_its_context(head):
+    """Not only the words of the classes: 20 rare words come after one word each."""
+    rng = np.random.default_rng(4)
+    often = [b"w%d" % i for i in np.append(rng.permutation(2200), rng.integers(0, 2200, 79_800)).tolist()]
+    pairs = [*zip(often[::2], often[1::2]), *((b"a%d" % i, b"b%d" % i) for i in range(20) for _ in range(12))]
+    model, counts, beyond = learnt([pairs[i] for i in rng.permutation(len(pairs))], head)
+    after = [b"b%d" % i for i in range(20)]
+    assert all(model.rank.get(w, head) >= model.modelled for w in after) and all(w in beyond for w in after) == (head == 1900)
+    for i, w in enumerate(after):
+        own, other = (log_after(model, [b], [w])[0] for b in (b"a%d" % i, b"w5"))
+        assert own - other > 1
+
+
+def test_words_with_and_without_a_leaf_add_up_to_one():
+    rng = np.random.default_rng(3)
+    names = [b"v%d" % i for i in np.append(rng.permutation(3000), rng.integers(0, 1500, 6000)).tolist()]
+    model, counts, beyond = learnt(list(zip(names[::2], names[1::2])), 2000)
+    assert len(beyond) > 300 and model.modelled == lm.CLASSES * lm.CLASS_WORDS < 2000
+    leaf = {w: zlib.crc32(w) % lm.SHARED for w in beyond}
+    for before in ([], [names[0]], [b"v3", beyond[0]]):
+        inside = np.exp(log_after(model, before, list(model.rank))).sum()
+        # of the shared leaves those without a known word hold an unknown one alone
+        ids = np.append([-1 - zlib.crc32(w) for w in beyond], -1 - np.arange(lm.SHARED))
+        known = model.ids(before)
+        logs = [model.logs(np.append(known, i), np.arange(len(before) + 1))[-1] for i in ids[: len(beyond)]]
+        shares = [math.exp(v) * (counts[w] + 0.5) / model.shared[leaf[w]] for v, w in zip(logs, beyond)]
+        many = ids[len(beyond) :]
+        texts = np.concatenate([np.append(known, i) for i in many])
+        n = len(known) + 1
+        last = model.logs(texts, np.tile(np.arange(n), len(many)))[n - 1 :: n]
+        unknown = (np.exp(last) * 0.5 / model.shared[np.arange(lm.SHARED)]).sum()
+        assert abs(inside + sum(shares) + unknown - 1) < 1e-3
+
+
+def test_masses_of_shared_leaves(spark):
+    rows = [(i, " ".join(f"u{i}-{j}" for j in range(50)) + " often" * 9) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm.train(spark, docs, lm.word_counts(docs), rounds=1, head_words=100)
+    want = np.full(lm.SHARED, 0.5)
+    for w in {w for _, t in rows for w in t.split()} - {"often"}:
+        want[zlib.crc32(w.encode()) % lm.SHARED] += 1.5
+    assert sorted(model.rank) == [b"", b"often"] and (model.shared == want).all()
+
+
+def test_tree_parts_by_mass():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, lm.BRANCHES, lm.BRANCHES + 1, 3000):
+        mass = rng.pareto(1.0, n) + 0.5
+        tree = lm.Tree(mass)
+        which, node, branch = tree.paths(np.arange(n))
+        found = np.exp(np.bincount(which, tree.bias[node, branch].astype(float), n))
+        assert np.allclose(found, mass / mass.sum(), rtol=1e-4)
