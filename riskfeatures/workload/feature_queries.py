@@ -20,6 +20,7 @@ from ..plans.financial_services import RATIOS as FS_RATIOS
 from ..plans.financial_services import FsFinancialFeatures
 from ..plans.litigation import BIFR_DISPOSED_STATUSES, LitigationFeatures
 from ..plans.scorecard import scorecard as scorecard_plan
+from ..session import tune_together
 from .operator_queries import COMPANY, DAY, FY, NOW, YEARS, YEARS_SQL, answer_score_sql, periods_sql
 from .registry import query
 from .views import AS_ON, SERIES_START, TODAY, fy_label, sources, view
@@ -619,6 +620,6 @@ left join ({_court_scorecard_sql(True)}) using (company_master_id)"""
 
 @query(_scorecard_sql())
 def scorecard(spark, d):
-    out = scorecard_plan(sources(spark, d), view(spark, d, "companies"), AS_ON, TODAY)
+    out = scorecard_plan(sources(tune_together(spark), d, by_company=True), view(spark, d, "companies"), AS_ON, TODAY)
     grown = [c for c in out.columns if c.startswith("ef_total_revenue_diff_perc")]
     return out.withColumns({c: F.round(c, 6) for c in grown})

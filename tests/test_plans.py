@@ -12,7 +12,7 @@ from riskfeatures.operators.key_filter import key_bits
 from riskfeatures.operators.rolling import rolling_rows
 from riskfeatures.session import tune, tune_finely
 from riskfeatures.sources import TABLES
-from riskfeatures.workload import views
+from riskfeatures.workload import QUERIES, views
 
 SF_DIR = "/root/testdata/sf0.001"
 AS_ON, TODAY = dt.date(2020, 8, 20), dt.date(2021, 12, 31)
@@ -199,3 +199,25 @@ def test_feature_queries_run_in_many_small_parts(spark):
     named["op10_spotsigs"](spark, "/root/testdata/sf0.001")
     assert spark.conf.get(size) == before
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
+def test_scorecard_deals_orders_and_lines_once(spark):
+    """All views that join the two read one and the same exchange, so its rows lie on disk once."""
+    text = physical(QUERIES["scorecard"](tune_finely(spark), SF_DIR))
+    tune(spark)
+    scans = {re.sub(r"#\d+L?", "", line) for line in text.splitlines() if "FileScan parquet" in line and "l_orderkey" in line}
+    assert text.count("REPARTITION_BY_COL") > 8 and len({re.sub(r"^\W*", "", s) for s in scans}) == 1
+
+
+def test_views_dealt_by_company_hold_the_same_rows(spark, tmp_path):
+    """With null keys, orders without lines, lines without orders, and rows that occur twice."""
+    for name in ("orders", "lineitem"):
+        df = spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(200)
+        keys = [c for c in df.columns if c.endswith("key")]
+        nulls = df.limit(40).withColumns({c: F.lit(None).cast("bigint") for c in keys[:1]})
+        more = nulls.union(df.limit(9)).union(df.limit(30).withColumn("o_custkey", F.lit(None).cast("bigint")) if name == "orders" else df.limit(3))
+        df.union(more).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("order_sums", "tenure", "aoc4_auditor_dtls", "adt3_general_resignation_dtls", "yml_bifr_litigation_data"):
+        plain, dealt = (views.view(spark, str(tmp_path), name, by_company) for by_company in (False, True))
+        assert plain.columns == dealt.columns and plain.count() == dealt.count() > 0
+        assert plain.exceptAll(dealt).isEmpty()
